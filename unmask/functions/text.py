@@ -38,12 +38,24 @@ def normalise_name(name: Column) -> Column:
     return F.concat(F.lit(" "), out, F.lit(" "))
 
 
+def _once(value: Column, build) -> Column:
+    """``build(value)`` for an array result, with ``value`` computed a single time per row.
+
+    A lambda evaluates every expression it mentions once per element; binding the value to a
+    lambda variable first keeps the n-gram functions linear in the length of the text.
+    """
+    return F.flatten(F.transform(F.array(value), build))
+
+
 def char_ngrams(text: Column, n: int = 3) -> Column:
     """Array of the character n-grams of a text, repeats kept; empty for short texts."""
-    return F.when(
-        F.length(text) >= n,
-        F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, n)),
-    ).otherwise(F.array().cast("array<string>"))
+    return _once(
+        text,
+        lambda t: F.when(
+            F.length(t) >= n,
+            F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, n)),
+        ).otherwise(F.array().cast("array<string>")),
+    )
 
 
 def ascii_words(text: Column) -> Column:
@@ -64,15 +76,15 @@ def split_words(text: Column) -> Column:
 def word_ngrams(words: Column, low: int = 1, high: int = 3) -> Column:
     """All n-grams of ``low`` to ``high`` consecutive words, joined by one blank."""
 
-    def of_length(n: int) -> Column:
+    def of_length(ws: Column, n: int) -> Column:
         if n == 1:
-            return words
+            return ws
         return F.when(
-            F.size(words) >= n,
+            F.size(ws) >= n,
             F.transform(
-                F.sequence(F.lit(1), F.size(words) - (n - 1)),
-                lambda i: F.array_join(F.slice(words, i, n), " "),
+                F.sequence(F.lit(1), F.size(ws) - (n - 1)),
+                lambda i: F.array_join(F.slice(ws, i, n), " "),
             ),
         ).otherwise(F.array().cast("array<string>"))
 
-    return F.concat(*[of_length(n) for n in range(low, high + 1)])
+    return _once(words, lambda ws: F.concat(*[of_length(ws, n) for n in range(low, high + 1)]))
