@@ -29,11 +29,10 @@ def column_profile(df: DataFrame) -> DataFrame:
 def text_summary(df: DataFrame, column: str) -> DataFrame:
     """(n, n_distinct, top, top_count): what a text column mostly holds; ties go to the smaller text."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    best = F.max(F.struct(F.col("c"))).alias("best")
-    top = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_distinct"), best)
-    return top.join(
-        counts.groupBy("c").agg(F.min("v").alias("top")), F.col("best.c") == F.col("c")
-    ).select("n", "n_distinct", "top", F.col("c").alias("top_count"))
+    best = F.min(F.struct((-F.col("c")).alias("c"), F.col("v"))).alias("best")
+    return counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_distinct"), best).select(
+        "n", "n_distinct", F.col("best.v").alias("top"), (-F.col("best.c")).alias("top_count")
+    )
 
 
 def number_summary(df: DataFrame, column: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from unmask.functions import text as tx
 from unmask.operators import weights
@@ -33,17 +34,20 @@ def train_word_vectors(
     window: int = WINDOW,
     min_count: int = MIN_COUNT,
     epochs: int = EPOCHS,
-    partitions: int = 1,
+    partitions: int | None = None,
     seed: int = 7,
 ) -> Word2VecModel:
-    """Skip-gram vectors over the text's words; rare and unseen words have none."""
+    """Skip-gram vectors over the text's words; rare and unseen words have none.
+
+    Training runs in parallel over partitions, by default as many as the session has cores.
+    """
     words = df.filter(F.col(text).isNotNull()).select(tx.ascii_words(F.col(text)).alias("words"))
     trainer = Word2Vec(
         vectorSize=size,
         windowSize=window,
         minCount=min_count,
         maxIter=epochs,
-        numPartitions=partitions,
+        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
         seed=seed,
         inputCol="words",
         outputCol="vector",
@@ -118,6 +122,7 @@ def cosine_top_k_many(
     rows = df.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v")).filter("_v is not null")
     id_type = rows.schema["_id"].dataType.simpleString()
     query_type = queries.schema[query_key].dataType.simpleString()
+    arrow_type = to_arrow_type(queries.schema[query_key].dataType)
     batches: list[DataFrame] = []
     pending: list = []
 
@@ -128,7 +133,7 @@ def cosine_top_k_many(
         matrix = np.array([r[1] for r in pending], dtype=float)
         lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
         shared = spark.sparkContext.broadcast((names, matrix / np.where(lengths == 0, np.nan, lengths)))
-        batches.append(rows.mapInArrow(_top_per_task(shared, k), f"_q {query_type}, _id {id_type}, _c double"))
+        batches.append(rows.mapInArrow(_top_per_task(shared, k, arrow_type), f"_q {query_type}, _id {id_type}, _c double"))
         pending.clear()
 
     for row in queries.select(query_key, F.col(query_vector).cast("array<double>")).toLocalIterator():
@@ -150,7 +155,7 @@ def cosine_top_k_many(
     )
 
 
-def _top_per_task(shared, k: int):
+def _top_per_task(shared, k: int, query_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
         kept_ids: list[np.ndarray] = [np.empty(0, dtype=object)] * len(names)
@@ -169,14 +174,18 @@ def _top_per_task(shared, k: int):
                 valid = ~np.isnan(cosines[i])
                 all_ids = np.concatenate([kept_ids[i], ids[valid]])
                 all_cos = np.concatenate([kept_cos[i], cosines[i][valid]])
-                order = sorted(range(len(all_ids)), key=lambda j: (-round(all_cos[j], SCORE_DIGITS), all_ids[j]))[:k]
+                rounded = np.round(all_cos, SCORE_DIGITS)
+                near = np.arange(len(rounded))
+                if len(rounded) > k:
+                    near = np.flatnonzero(rounded >= np.partition(rounded, -k)[-k])
+                order = sorted(near, key=lambda j: (-rounded[j], all_ids[j]))[:k]
                 kept_ids[i], kept_cos[i] = all_ids[order], all_cos[order]
         if id_type is None:
             return
         out_names = [n for n, c in zip(names, kept_cos) for _ in c]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(out_names),
+                pa.array(out_names, query_type),
                 pa.array([x for ids in kept_ids for x in ids], id_type),
                 pa.array(np.concatenate(kept_cos), pa.float64()),
             ],
