@@ -69,14 +69,14 @@ def _two_days(spark, folder):
 @query(
     "day_symmetric_diff",
     """
-    with d as (select user_id, event_type, date_trunc('day', ts) = (select max(date_trunc('day', ts)) from events) as now
+    with d as (select user_id, props, date_trunc('day', ts) = (select max(date_trunc('day', ts)) from events) as now
                from events)
-    select user_id, event_type, min(case when now then 'added' else 'removed' end) as side
-    from d group by user_id, event_type having count(*) = 1""",
+    select user_id, props, min(case when now then 'added' else 'removed' end) as side
+    from d group by user_id, props having count(*) = 1""",
 )
 def day_symmetric_diff(spark, folder):
     before, after = _two_days(spark, folder)
-    return snap.symmetric_difference(before, after, ["user_id", "event_type"])
+    return snap.symmetric_difference(before, after, ["user_id", "props"])
 
 
 @query(

@@ -53,3 +53,12 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread_by(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partition by columns into the session's number of shuffle partitions.
+
+    The number is given, so adaptive execution does not merge partitions whose rows are small
+    now but grow in the steps that follow, such as texts about to be cut into n-grams.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
