@@ -92,7 +92,8 @@ def flatten_products(
     df = df.filter(~sc.contains_text(F.col("Description"), DENIED_DESCRIPTION))
     if only_categories:
         df = df.filter(nth_field(F.col("Categories"), 0, "UrlFriendlyName").isin(only_categories))
-    df = df.filter(F.size("AdditionalDetails") > 0)
+    # the last product of a code is chosen before the many columns are made
+    df = keep_last(df.filter(F.size("AdditionalDetails") > 0), ["Stockcode"], order)
     have = set(df.columns)
     plain = [
         F.col(f.name).alias(sch.flat_name(f.name))
@@ -111,8 +112,7 @@ def flatten_products(
         if "Prices" in have and kind in df.schema["Prices"].dataType.names
         for f in sch.PRICE_FIELDS
     ]
-    wide = df.select(
-        *order,
+    return df.select(
         *plain,
         *(categories(F.col("Categories")) if "Categories" in have else []),
         *(reviews(F.col("Reviews")) if "Reviews" in have else []),
@@ -121,7 +121,6 @@ def flatten_products(
         *[attribute(F.col("AdditionalDetails"), a).alias(sch.flat_name(a)) for a in names],
         sc.is_masked(F.col("Description"), F.col("Stockcode"), mystery_rule).alias("mystery"),
     )
-    return keep_last(wide, ["stockcode"], order).drop(*order)
 
 
 def stamp(df: DataFrame, load_ts: datetime) -> DataFrame:
