@@ -4,14 +4,19 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-from unmask.session import local_session  # noqa: E402
+from unmask.session import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, "unmask-tests")
+    session = local_session(8, "unmask-tests", scratch=str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def _no_scratch_left(request):
+    yield
+    if "spark" in request.fixturenames:
+        release(request.getfixturevalue("spark"))

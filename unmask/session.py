@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = 8, name: str = "unmask", memory: str = "12g") -> SparkSession:
-    """A session for tests and the benchmark; on a cluster the job brings its own."""
-    return (
+def local_session(
+    cores: int | str = 8, name: str = "unmask", memory: str = "12g", scratch: str | None = None
+) -> SparkSession:
+    """A session for tests and the benchmark; on a cluster the job brings its own.
+
+    The scratch folder is the one the installation names. Only where it names none, this local
+    session gets ``scratch`` or a temporary folder.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cores))
@@ -21,27 +28,50 @@ def local_session(cores: int | str = 8, name: str = "unmask", memory: str = "12g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    if scratch or SparkConf().get(CHECKPOINT_CONF) is None:
+        builder = builder.config(CHECKPOINT_CONF, scratch or tempfile.mkdtemp(prefix="unmask-"))
+    return builder.getOrCreate()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it gets a temporary folder of its own.
-    """
+    """The shared folder that the session names in ``spark.checkpoint.dir``."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="unmask-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    if not root:
+        raise ValueError(f"start the session with {CHECKPOINT_CONF} set to a folder that all executors share")
+    return root.rstrip("/")
+
+
+_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new path below the scratch folder; ``release`` removes what was written there."""
+    if not _made:
+        atexit.register(_release_active)
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path, on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _made:
+        _made.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every scratch table this process has made; results that read them end with it."""
+    for path in list(_made):
+        remove(spark, path)
+
+
+def _release_active() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release(spark)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
@@ -52,7 +82,26 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of one run that nothing needs once its result is written; they go when the run ends."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self._n = spark, scratch_path(spark, label), 0
+
+    def table(self, df: DataFrame) -> DataFrame:
+        self._n += 1
+        path = f"{self.path}/{self._n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        remove(self.spark, self.path)
 
 
 def spread_by(df: DataFrame, *columns: str) -> DataFrame:
