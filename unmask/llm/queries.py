@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import fertility, golay, sharding
-from unmask.llm.common import table
+from unmask.llm import fertility, golay, mixing, packing, sharding
+from unmask.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,27 @@ def op2_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shuffle_into_shards(docs, SHARDS).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.placed("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+
+
+@query
+def op7_multinomial_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Size, source, target and words taken of every document in the mix."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(docs)
+    taken = mixed.pieces.groupBy(F.col("uid").alias("taken_uid")).agg(F.sum("n_words").alias("taken"))
+    rows, sources = mixed.rows.alias("d"), mixed.sources.alias("s")
+    out = rows.join(sources, F.col("d.source").eqNullSafe(F.col("s.source")))
+    out = out.join(taken, F.col(f"d.{mixed.uid}") == F.col("taken_uid"), "left")
+    return out.select(
+        "d.doc_id", "d.size", "s.source_size", "s.target", F.coalesce("taken", F.lit(0)).alias("taken")
+    )
+
+
 @query
 def op8_tokenizer_fertility(spark: SparkSession, folder: str) -> DataFrame:
     """Base figures, fertility figures and verdict of every document."""
