@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import fertility, golay, mixing, packing, sharding
+from unmask.llm import fertility, golay, mixing, packing, repair, sharding
 from unmask.llm.common import table, word_count
+from unmask.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, size and checksum of every document's ids, read back from the shard files."""
+    path = scratch_path(spark, "token-shards")
+    repair.write_shards(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return repair.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op2_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 24 shards whose row counts differ by one at most."""
