@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import fertility, golay, mixing, packing, repair, sharding
+from unmask.llm import crosspolytope, fertility, golay, mixing, packing, repair, sharding, unigram
 from unmask.llm.common import table, word_count
 from unmask.session import scratch_path
 
@@ -52,6 +52,19 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.placed("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
 
 
+@query
+def op5_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest found of every vector whose id is divisible by 50."""
+    return crosspolytope.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op6_viterbi_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens and best score of every document under the piece vocabulary as a unigram model."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return unigram.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 @query
 def op7_multinomial_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Size, source, target and words taken of every document in the mix."""
