@@ -74,14 +74,14 @@ def _release_active() -> None:
         release(spark)
 
 
-def durable(df: DataFrame, label: str) -> DataFrame:
+def durable(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write an intermediate result once to the shared folder and go on from the file.
 
     Used where a result feeds several later steps: a lost executor then costs a re-read,
     not a recomputation, and every reader sees the same rows.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
