@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import crosspolytope, fertility, golay, mixing, packing, repair, sharding, unigram
+from unmask.llm import crosspolytope, fertility, golay, linedup, mixing, packing, repair, sharding, unigram
 from unmask.llm.common import table, word_count
 from unmask.session import scratch_path
 
@@ -24,6 +24,32 @@ def query(fn: Query) -> Query:
     return fn
 
 
+LINES_SQL = r"""
+lines as (
+  select doc_id, i as line, list_extract(l, i) as x
+  from (select doc_id, string_split(text, chr(10)) as l, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents)),
+full_lines as (
+  select doc_id, line, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) as words,
+    row_number() over (partition by doc_id order by line) as no
+  from lines where regexp_matches(x, '[^\x20\x09-\x0D]')),
+pairs as (
+  select a.doc_id, a.no, a.words, b.doc_id as other, a.no - b.no as shift
+  from full_lines a join full_lines b on a.x = b.x and (b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.no < a.no))),
+runs as (
+  select *, no - row_number() over (partition by doc_id, other, shift order by no) as run from pairs),
+long_runs as (
+  select *, sum(words) over (partition by doc_id, other, shift, run) as run_words from runs),
+gone as (select distinct doc_id, no from long_runs where run_words >= 50),
+marked as (
+  select l.doc_id, l.line, l.x, f.no, g.no is not null as gone
+  from lines l left join full_lines f using (doc_id, line) left join gone g on g.doc_id = l.doc_id and g.no = f.no),
+around as (
+  select *, last_value(case when no is not null then gone end ignore nulls) over (partition by doc_id order by line rows between unbounded preceding and 1 preceding) as up,
+    first_value(case when no is not null then gone end ignore nulls) over (partition by doc_id order by line rows between 1 following and unbounded following) as down
+  from marked),
+kept as (select *, coalesce(case when no is null then up and down else gone end, false) as cut from around)"""
+
+
 @query
 def op1_repair_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Place, size and checksum of every document's ids, read back from the shard files."""
@@ -91,6 +117,23 @@ def fertility_files() -> tuple[str, str, str]:
     return path("piece_bpe_32k.model"), path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query
+def op9_suffix_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without later copies of repeated line runs of 50 words or more."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return linedup.drop_repeated_runs(docs)
+
+
+ORACLES["op9_suffix_line_runs"] = f"""with {LINES_SQL}
+select d.doc_id,
+  case when d.text is null then null else coalesce(k.text, '') end as text,
+  coalesce(k.n_lines, 0) as n_lines, coalesce(k.n_removed, 0) as n_removed
+from documents d left join (
+  select doc_id, string_agg(x, chr(10) order by line) filter (where not cut) as text,
+    count(*) as n_lines, count(*) filter (where cut) as n_removed
+  from kept group by doc_id) k using (doc_id)"""
+
+
 @query
 def op10_golay_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and smallest reachable doc_id of every document."""
