@@ -125,8 +125,11 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g["b"] + 1))
     stops = F.concat(F.transform(gone, lambda g: g["a"]), F.array(F.size(lines)))
     kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice(lines, a + 1, b - a)))
-    is_cut = cuts_of.isNotNull()
-    text = F.when(is_cut, F.array_join(kept, "\n")).otherwise(quoted("text"))
+    before, after = fresh(joined, "_before"), fresh(joined, "_after")
+    done = joined.withColumn(before, F.when(quoted("text").isNull(), 0).otherwise(F.size(lines)))
+    done = done.withColumn(after, F.when(cuts_of.isNotNull(), kept))
+    is_cut = quoted(after).isNotNull()
+    text = F.when(is_cut, F.array_join(quoted(after), "\n")).otherwise(quoted("text"))
     out = [text.alias(c) if c.lower() == "text" else quoted(c) for c in docs.columns]
-    n_lines = F.when(quoted("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines")
-    return joined.select(*out, n_lines, F.when(is_cut, F.size(lines) - F.size(kept)).otherwise(0).cast("long").alias("n_removed"))
+    n_gone = F.when(is_cut, quoted(before) - F.size(quoted(after))).otherwise(0)
+    return done.select(*out, quoted(before).cast("long").alias("n_lines"), n_gone.cast("long").alias("n_removed"))
