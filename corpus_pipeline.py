@@ -8,15 +8,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import fertility, golay
-from unmask.llm.common import fresh, quoted, table
+from unmask.llm import fertility, golay, linedup, mixing, packing
+from unmask.llm.common import WORD, quoted, table, word_count
 from unmask.llm.queries import fertility_files
 from unmask.session import durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+ROW = "_row"
+
+
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns in one, so that no operator's columns can clash with them."""
+    return F.struct(*(quoted(c) for c in docs.columns)).alias(ROW)
+
+
+def with_text(rows: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """The rows' columns again, with another text and its length in n_chars."""
+    new = {"text": quoted(text), "n_chars": F.char_length(quoted(text)).cast("long")}
+    return rows.select(*(new.get(c, F.col(f"{ROW}.`{c.replace('`', '``')}`")).alias(c) for c in columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +37,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A null text fails. Columns named as a measure are kept as they came in.
     """
-    key = fresh(docs, "_row")
-    texts = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias(key), "text", "lang")
-    return fertility.quality(texts, *fertility_files()).filter("kept").select(f"`{key}`.*")
+    judged = fertility.quality(docs.select(whole_rows(docs), "text", "lang"), *fertility_files())
+    return judged.filter("kept").select(f"{ROW}.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated line runs; those that lose their last word go.
+
+    A null text stays null, and the first copy of a run stays where it is.
+    """
+    out = linedup.drop_repeated_runs(docs.select(whole_rows(docs), "doc_id", "text"))
+    out = out.filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    return with_text(out, docs.columns, "text")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +69,42 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(one)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes their words, at most three times.
+
+    The n-th copy of a document holds the words that the mix takes n times or more: the whole text where
+    it takes all of them, else the taken stretches in order. Documents without a word are in no block and
+    go. A null source is a source of its own.
+    """
+    size = word_count(F.col("text")).alias("size")
+    mixed = mixing.mix(docs.select(whole_rows(docs), "doc_id", "source", "text", size))
+    part = F.struct("word_from", "n_words", "times")
+    parts = mixed.pieces.groupBy("uid", "word_from", "n_words").agg(F.count("*").cast("int").alias("times"))
+    parts = parts.groupBy(F.col("uid").alias("parts_uid")).agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    rows = mixed.rows.join(parts, quoted(mixed.uid) == F.col("parts_uid"))
+    most = F.array_max(F.transform("parts", lambda p: p["times"]))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), most)))
+    rows = rows.withColumn("taken", F.filter("parts", lambda p: p["times"] >= F.col("copy")))
+    rows = rows.withColumn("n", F.aggregate("taken", F.lit(0).cast("long"), lambda n, p: n + p["n_words"]))
+    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    cut = F.transform("taken", lambda p: F.slice(words, (p["word_from"] + 1).cast("int"), p["n_words"].cast("int")))
+    cut = F.regexp_replace(F.array_join(F.flatten(cut), ""), r"^[\x20\x09-\x0D]+", "")
+    rows = rows.withColumn("cut", F.when(F.col("n") == F.col("size"), F.col("text")).otherwise(cut))
+    return with_text(rows, docs.columns, "cut")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' ids with their places in sequences of at most 4096 tokens."""
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed.placed("doc_id", "start", "length", "ids", "doc_tokens")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
 ]
 # Fingerprints, vocabularies and pseudorandom draws have no SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import crosspolytope, fertility, golay, linedup, mixing, packing, repair, sharding, unigram
+from unmask.llm import crosspolytope, fertility, golay, linedup, mixing, packing, repair, sharding, unigram, wrapper
 from unmask.llm.common import table, word_count
 from unmask.session import scratch_path
 
@@ -71,6 +71,12 @@ def op2_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shuffle_into_shards(docs, SHARDS).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query
+def op3_wrapper_induction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return wrapper.main_texts(table(spark, folder, "pages"))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
