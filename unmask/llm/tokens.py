@@ -24,6 +24,10 @@ _BYTE_CHUNK = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 _WORD_CHUNK = re.compile(rf"[^{_WS}]+")
 _BEYOND_LATIN = re.compile(r"[^\x00-\u012f\u0131-\u024f]")
 _END_MARKS = ".,;:!?"
+# White space to str.split but not to the tokenizers.
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+# Marks a chunk that no space stands before; other chunks hold no space.
+_BARE = " "
 
 
 class Store(dict):
@@ -37,7 +41,8 @@ class Store(dict):
         self.encode, self.limit = encode, limit
 
     def learn(self, chunks: set) -> list:
-        todo = list(chunks - self.keys())
+        # Membership one by one: a difference with the keys would walk the whole store.
+        todo = [c for c in chunks if c not in self]
         passing = todo[max(0, self.limit - len(self)) :]
         for at in range(0, len(todo), PART):
             part = todo[at : at + PART]
@@ -62,6 +67,7 @@ class JsonEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = self.tokenizer.normalizer is None
+        self.tail = _BARE if self.keeps_space else ""
         self.store = Store(self._encode, limit)
         # Pieces that begin with a space, or that end a word.
         pieces = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
@@ -71,8 +77,9 @@ class JsonEncoder:
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks. Those whose ids show where they begin or end are encoded as one string."""
+        chunks = list(map(self._spelled, chunks))
         if self.keeps_space:
-            joins = [c[0] == " " and len(c) > 1 and not c[1].isspace() for c in chunks]
+            joins = [c[:1] == " " and c[1:2].isalpha() and " " not in c[1:] for c in chunks]
         else:
             joins = [c.isascii() and c.isalpha() for c in chunks]
         plain = [c for c, j in zip(chunks, joins, strict=True) if not j]
@@ -90,27 +97,46 @@ class JsonEncoder:
         return [next(cuts if j else rest) for j in joins]
 
     def _chunks(self, text: str) -> list[str]:
-        if self.keeps_space:
-            return _BYTE_CHUNK.findall(text)
-        # Lower case is the file's own first step; done here where no character changes with its neighbours.
-        return _WORD_CHUNK.findall(text if _BEYOND_LATIN.search(text) else text.lower())
+        """Pieces of a text that the tokenizer never joins. Byte-level ones begin with their space, which
+        is left off where all have one; the first chunk is then marked as having none."""
+        if not self.keeps_space:
+            # Lower case is the file's own first step; done here where no character changes with its neighbours.
+            text = text if _BEYOND_LATIN.search(text) else text.lower()
+            return _WORD_CHUNK.findall(text) if _SEPARATORS.search(text) else text.split()
+        if "  " in text:
+            return [c[1:] if c[0] == " " and not c[-1].isspace() else _BARE + c for c in _BYTE_CHUNK.findall(text)]
+        chunks = text.split(" ")
+        chunks[0] = _BARE + chunks[0]
+        return chunks
+
+    def _spelled(self, chunk: str) -> str:
+        """A chunk as it stands in the text."""
+        if not self.keeps_space:
+            return chunk
+        return chunk[1:] if chunk[:1] == _BARE else " " + chunk
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, packed as the store packs them."""
         lists = [self._chunks(t) for t in texts]
-        new = set().union(*lists) - self.store.keys()
-        split = {}
-        for c in new:
+        distinct = set().union(*lists)
+        store, split, whole = self.store, {}, set()
+        for c in distinct:
+            if c in store:
+                continue
             core = c.rstrip(_END_MARKS)
             if 0 < len(core) < len(c) and core[-1].lower().isalpha():
-                split[c] = core, c[len(core) :]
-        passing = self.store.learn((new - split.keys()).union(*split.values()))
+                split[c] = core, self.tail + c[len(core) :]
+            else:
+                whole.add(c)
+        passing = store.learn(whole.union(*split.values()))
         for c, (core, tail) in split.items():
-            if len(self.store) >= self.store.limit:
+            if len(store) >= store.limit:
                 passing.append(c)
-            self.store[c] = self.store[core] + self.store[tail]
-        out = [b"".join(map(self.store.__getitem__, chunks)) for chunks in lists]
-        self.store.forget(passing)
+            store[c] = store[core] + store[tail]
+        # A small table of what is at hand is looked up faster than the store.
+        near = dict(zip(distinct, map(store.__getitem__, distinct), strict=True))
+        out = [b"".join(map(near.__getitem__, chunks)) for chunks in lists]
+        store.forget(passing)
         return out
 
 

@@ -324,7 +324,7 @@ def extract(page: str, ref: Reference | None = None, template: dict[int, tuple[f
         tops = real or tops
     inside = bool(tops)
     gone: set[int] = set()
-    if ref and template and _longest(root) != ref.longest:
+    if ref and template:
         share, pages = INSIDE if inside else OUTSIDE
         for node, r in ref.align(root):
             if r in template and template[r][0] >= share and template[r][1] >= pages and ref.digests[r] == _digest(own_text(node)):
