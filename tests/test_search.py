@@ -182,19 +182,18 @@ def test_exact_text_rules(spark):
     got = sorted((r["stockcode_x"], r["stockcode_y"], r["method"]) for r in matches.collect())
     # k2 and k3 have placeholder reviews and are out of every method; blank texts match nothing
     assert got == [("m1", "k1", "desc_match"), ("m1", "k1", "webdesc_match"), ("m2", "k4", "rev2_match")]
-    assert members.count() == 0
-
-
-def test_large_groups_stay_whole_in_linear_size(spark):
-    rows = [(f"m{i}", True, "same", None, None, None) for i in range(20)]
-    rows += [(f"k{i:02}", False, "same", None, None, None) for i in range(30)]
-    rows += [("m99", True, "rare", None, None, None), ("k99", False, "rare", None, None, None)]
-    df = spark.createDataFrame(rows, TEXTS)
-    whole = exact_text_match(df)[0].select("stockcode_x", "stockcode_y").collect()
-    assert len(whole) == 601
-    matches, members = exact_text_match(df, pair_limit=100)
-    assert matches.count() == 21
-    rebuilt = matches.join(members, ["method", "match_key"], "left").selectExpr(
-        "stockcode_x", "coalesce(stockcode, stockcode_y) as stockcode_y"
-    )
-    assert sorted(rebuilt.collect()) == sorted(whole)
+    listed = {(r["method"], r["stockcode"]) for r in members.collect()}
+    assert listed == {("desc_match", "k1"), ("webdesc_match", "k1"), ("rev2_match", "k4")}
+
+
+@pytest.mark.parametrize("n_mystery", [100, 101])
+def test_groups_of_any_size_have_one_shape(spark, n_mystery):
+    rows = [(f"m{i}", True, "same", None, None, None) for i in range(n_mystery)]
+    rows += [(f"k{i:02}", False, "same", None, None, None) for i in range(100)]
+    rows += [("m999", True, "rare", None, None, None), ("k999", False, "rare", None, None, None)]
+    matches, members = exact_text_match(spark.createDataFrame(rows, TEXTS))
+    got = matches.collect()
+    assert len(got) == n_mystery + 1 and members.count() == 101
+    assert {(r["stockcode_y"], r["n_known"]) for r in got if r["stockcode_x"] != "m999"} == {("k00", 100)}
+    pairs = matches.join(members, ["method", "match_key"]).select("stockcode_x", "stockcode").distinct()
+    assert pairs.count() == 100 * n_mystery + 1

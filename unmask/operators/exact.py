@@ -19,9 +19,6 @@ TEXT_METHODS = {
     "review2_text": "rev2_match",
 }
 
-# Groups with more pairs than this are reported once per mystery, with their members on the side.
-PAIR_LIMIT = 10_000
-
 
 def giveaway(
     df: DataFrame,
@@ -48,7 +45,22 @@ def without_placeholders(df: DataFrame, mystery: str, reviews: list[str]) -> Dat
 
 
 def text_groups(df: DataFrame, key: str, mystery: str, methods: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Rows (method, match_key, key, mystery) and the groups that have both sides.
+    """Rows (method, match_key, key, mystery) and the groups that have both sides."""
+    rows = durable(text_rows(df, key, mystery, methods), "texts")
+    groups = (
+        rows.groupBy("method", "match_key")
+        .agg(
+            F.count_if("mystery").alias("n_mystery"),
+            F.count_if(~F.col("mystery")).alias("n_known"),
+            F.min(F.when(~F.col("mystery"), F.col("stockcode"))).alias("first_known"),
+        )
+        .filter("n_mystery > 0 and n_known > 0")
+    )
+    return rows, groups
+
+
+def text_rows(df: DataFrame, key: str, mystery: str, methods: dict[str, str]) -> DataFrame:
+    """Distinct (stockcode, mystery, method, match_key).
 
     ``match_key`` is a digest of the whole text, so long texts do not travel through shuffles.
     """
@@ -62,23 +74,23 @@ def text_groups(df: DataFrame, key: str, mystery: str, methods: dict[str, str])
             for c, name in methods.items()
         ]
     )
-    rows = (
-        df.select(F.col(key).alias("stockcode"), F.col(mystery).alias("mystery"), F.explode(stack).alias("t"))
-        .select("stockcode", "mystery", "t.method", "t.match_key")
-        .filter("match_key is not null")
-        .distinct()
+    rows = df.select(F.col(key).alias("stockcode"), F.col(mystery).alias("mystery"), F.explode(stack).alias("t"))
+    return rows.select("stockcode", "mystery", "t.method", "t.match_key").filter("match_key is not null").distinct()
+
+
+def known_texts(rows: DataFrame) -> DataFrame:
+    """(method, match_key, n_known, stockcode_y) of every known text; the code is the smallest."""
+    return rows.filter("not mystery").groupBy("method", "match_key").agg(
+        F.count(F.lit(1)).alias("n_known"), F.min("stockcode").alias("stockcode_y")
     )
-    rows = durable(rows, "texts")
-    groups = (
-        rows.groupBy("method", "match_key")
-        .agg(
-            F.count_if("mystery").alias("n_mystery"),
-            F.count_if(~F.col("mystery")).alias("n_known"),
-            F.min(F.when(~F.col("mystery"), F.col("stockcode"))).alias("first_known"),
-        )
-        .filter("n_mystery > 0 and n_known > 0")
+
+
+def match_texts(masked: DataFrame, known: DataFrame) -> DataFrame:
+    """One row for each mystery, method and text that known products share."""
+    found = masked.filter("mystery").select("method", "match_key", F.col("stockcode").alias("stockcode_x"))
+    return found.join(known, ["method", "match_key"]).select(
+        "stockcode_x", "stockcode_y", "method", F.lit("Good").alias("match_level"), "match_key", "n_known"
     )
-    return rows, groups
 
 
 def exact_text_match(
@@ -87,33 +99,20 @@ def exact_text_match(
     mystery: str = "mystery",
     methods: dict[str, str] | None = None,
     reviews: list[str] | None = None,
-    pair_limit: int = PAIR_LIMIT,
 ) -> tuple[DataFrame, DataFrame]:
     """Mystery and known products with an identical text in the same column.
 
-    Returns (matches, members). ``matches`` lists every pair of a group; a group of copies so
-    large that its pairs exceed ``pair_limit`` is kept whole in linear size instead: one match
-    per mystery, naming the group's first known product, while ``members`` lists all of the
-    group's known products under the same (method, match_key).
+    Returns (matches, members), both in linear size whatever the groups of copies. ``matches`` has one
+    row for each mystery, method and match_key, with the number of known products that share the text
+    and the smallest of their codes; ``members`` lists them all under the same (method, match_key).
     """
     methods = methods or TEXT_METHODS
     if reviews is None:
         reviews = [c for c in methods if c.startswith("review")]
     rows, groups = text_groups(without_placeholders(df, mystery, reviews), key, mystery, methods)
-    groups = durable(groups, "text-groups").withColumn(
-        "large", F.col("n_mystery") * F.col("n_known") > F.lit(pair_limit)
-    )
-    by = ["method", "match_key"]
-    masked = rows.filter("mystery").select(*by, F.col("stockcode").alias("stockcode_x"))
-    known = rows.filter("not mystery").select(*by, F.col("stockcode").alias("stockcode_y"))
-    small = groups.filter("not large").select(*by, "n_known")
-    large = groups.filter("large").select(*by, "n_known", F.col("first_known").alias("stockcode_y"))
-    pairs = masked.join(small, by).join(known, by)
-    hot = masked.join(large, by)
-    columns = ["stockcode_x", "stockcode_y", "method", F.lit("Good").alias("match_level"), "match_key", "n_known"]
-    matches = pairs.select(*columns).unionByName(hot.select(*columns))
-    members = known.join(large.select(*by), by, "left_semi").select(*by, F.col("stockcode_y").alias("stockcode"))
-    return matches, members
+    matches = match_texts(rows, known_texts(rows))
+    members = rows.filter("not mystery").join(groups.select("method", "match_key"), ["method", "match_key"], "left_semi")
+    return matches, members.select("method", "match_key", "stockcode")
 
 
 def candidate_counts(df: DataFrame, key: str, mystery: str, blocking: list[str]) -> DataFrame:

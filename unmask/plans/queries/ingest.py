@@ -11,7 +11,7 @@ from unmask.plans.queries.registry import query
 from unmask.plans.queries.snapshots import SNAPSHOT_SQL
 from unmask.plans.standins import documents, event_snapshot, literal_details, parsed_payload, part_payload, table
 from unmask.operators.snapshots import latest_load_value
-from unmask.session import scratch_path
+from unmask.session import durable, scratch_path
 from unmask.sources import flatten, readers, writers
 from unmask.sources import schema as sch
 from unmask.streaming import ingest
@@ -106,10 +106,49 @@ def url_to_code(spark, folder):
 
 @query("csv_round_trip", "select p_partkey, p_name, p_brand, p_retailprice from part")
 def csv_round_trip(spark, folder):
+    """Parts through CSV; lines with a field too many, empty or not, land beside them and are skipped."""
     path = scratch_path(spark, "csv")
     part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
     writers.write_csv(part, path)
-    return readers.read_csv(spark, path, part.schema)
+    text = F.col("p_partkey").cast("string")
+    wide = part.select(F.concat(text, F.lit(',"a, b",c,1.0,'), F.when(F.col("p_partkey") % 2 == 0, ",v").otherwise("")).alias("value"))
+    extra = scratch_path(spark, "csv-extra")
+    spark.range(1).select(F.lit("p_partkey,p_name,p_brand,p_retailprice").alias("value")).union(wide).coalesce(1).write.text(extra)
+    return readers.read_csv(spark, [path, extra], part.schema)
+
+
+@query(
+    "csv_payload",
+    """
+    select p_partkey::varchar as stockcode, p_name as description, p_type as category, p_brand as sub_category,
+           'Beef, None, ' || p_brand as varietal, 'it''s ' || p_size || '"' as webliquorsize, p_type = 'PROMO' as mystery
+    from part where not contains(p_partkey::varchar, '672366')""",
+)
+def csv_payload(spark, folder):
+    """Products whose lists stand in CSV cells as Python literals, flattened; the last of a code's rows counts."""
+    quote = F.lit("'")
+    category = lambda c: F.concat(F.lit("{'UrlFriendlyName': '"), c, F.lit("', 'Id': None}"))
+    detail = lambda n, v: F.concat(F.lit(f"{{'Name': '{n}', 'Value': "), v, F.lit(", 'DisplayName': None}"))
+    cells = table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("Stockcode"),
+        F.when(F.col("p_type") == "PROMO", F.concat(F.lit("Wraps "), "p_name")).otherwise(F.col("p_name")).alias("Description"),
+        F.concat(F.lit("["), category(F.col("p_type")), F.lit(", "), category(F.col("p_brand")), F.lit("]")).alias("Categories"),
+        F.concat(
+            F.lit("["), detail("varietal", F.concat(quote, F.lit("Beef, None, "), "p_brand", quote)), F.lit(", "),
+            detail("webliquorsize", F.concat(F.lit('"it\'s '), F.col("p_size").cast("string"), F.lit('\\""'))), F.lit("]"),
+        ).alias("AdditionalDetails"),
+        F.lit(1).alias("line"),
+    )
+    older = cells.withColumn("line", F.lit(0)).withColumn("Description", F.lit("older"))
+    empty = cells.withColumn("line", F.lit(2)).withColumn("AdditionalDetails", F.lit("[]"))
+    path = scratch_path(spark, "csv")
+    writers.write_csv(cells.unionByName(older).unionByName(empty), path)
+    rows = readers.read_csv(spark, path, cells.schema)
+    lists = {"Categories": sch.CATEGORIES, "AdditionalDetails": sch.DETAILS}
+    rows = rows.withColumns({c: flatten.literal_cell(F.col(c), kind) for c, kind in lists.items()})
+    wide = flatten.flatten_products(rows, ["line"], attributes=["varietal", "webliquorsize"])
+    described = F.regexp_replace("description", "^Wraps ", "").alias("description")
+    return wide.select("stockcode", described, "category", "sub_category", "varietal", "webliquorsize", "mystery")
 
 
 @query(
@@ -139,19 +178,25 @@ def incremental_ingest(spark, folder):
 @query(
     "stream_match",
     """
-    select a.doc_id as stockcode_x, b.doc_id as stockcode_y, 'desc_match' as method from documents a
-    join documents b on a.text = b.text where starts_with(a.source, 'src1') and not starts_with(b.source, 'src1')""",
+    with rows as (select doc_id, text, starts_with(source, 'src1') as mystery from documents where trim(text) <> ''),
+    known as (select text, count(*) as n_known, min(doc_id) as stockcode_y from rows where not mystery group by text)
+    select doc_id as stockcode_x, stockcode_y, 'desc_match' as method, n_known, sha256(text) as match_key
+    from rows join known using (text) where mystery""",
 )
 def stream_match(spark, folder):
-    """Landed masked documents matched batch by batch against the known ones."""
-    known = documents(spark, folder).filter("not mystery").select("doc_id", "text", "mystery")
+    """Landed masked documents matched batch by batch against the digests of the known ones.
+
+    The digests are made once, not in every batch; match_key leads to the members of a text.
+    """
+    methods = {"text": "desc_match"}
+    known = documents(spark, folder).filter("not mystery")
+    known = durable(exact.known_texts(exact.text_rows(known, "doc_id", "mystery", methods)), "known-texts")
     stream = ingest.landed_files(spark, f"{folder}/document[s].parquet", table(spark, folder, "documents").schema, "parquet")
     target, checkpoint = scratch_path(spark, "matched"), scratch_path(spark, "match-checkpoint")
 
     def match(batch, known):
         masked = batch.withColumn("mystery", F.startswith("source", F.lit("src1"))).filter("mystery")
-        both = masked.select("doc_id", "text", "mystery").unionByName(known)
-        return exact.exact_text_match(both, "doc_id", "mystery", {"text": "desc_match"})[0]
+        return exact.match_texts(exact.text_rows(masked, "doc_id", "mystery", methods), known)
 
     ingest.match_new_files(stream, known, match, target, checkpoint)
-    return spark.read.parquet(target).select("stockcode_x", "stockcode_y", "method")
+    return spark.read.parquet(target).select("stockcode_x", "stockcode_y", "method", "n_known", "match_key")

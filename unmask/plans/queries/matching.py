@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from unmask.operators import assemble, exact, fuzzy, profile, structural
+from unmask.plans import nightly
 from unmask.plans.queries.registry import query
 from unmask.plans.standins import documents, part_catalogue, table
 
@@ -100,13 +101,25 @@ def _texts(spark, folder):
 
 @query(
     "exact_text_match",
-    f"""with {TEXTS_SQL}, known as (select method, match_key, count(*) as n_known from rows where not mystery group by all)
-    select a.doc_id as stockcode_x, b.doc_id as stockcode_y, a.method, 'Good' as match_level, a.match_key, n_known
-    from rows a join rows b using (method, match_key) join known using (method, match_key) where a.mystery and not b.mystery""",
+    f"""with {TEXTS_SQL},
+    known as (select method, match_key, count(*) as n_known, min(doc_id) as stockcode_y from rows where not mystery group by all)
+    select doc_id as stockcode_x, stockcode_y, method, 'Good' as match_level, match_key, n_known
+    from rows join known using (method, match_key) where mystery""",
 )
 def exact_text_match(spark, folder):
-    matches, _ = exact.exact_text_match(_texts(spark, folder), "doc_id", "mystery", TEXT_METHODS)
-    return matches
+    """One row for each mystery, method and shared text."""
+    return exact.exact_text_match(_texts(spark, folder), "doc_id", "mystery", TEXT_METHODS)[0]
+
+
+@query(
+    "exact_text_members",
+    f"""with {TEXTS_SQL}
+    select method, match_key, doc_id as stockcode from rows
+    where not mystery and (method, match_key) in (select (method, match_key) from rows where mystery)""",
+)
+def exact_text_members(spark, folder):
+    """Every known product of the texts that mysteries share."""
+    return exact.exact_text_match(_texts(spark, folder), "doc_id", "mystery", TEXT_METHODS)[1]
 
 
 @query(
@@ -174,17 +187,72 @@ def match_enriched(spark, folder):
 @query(
     "text_match_enriched",
     """
-    with rows as (select *, starts_with(source, 'src1') as mystery from documents)
+    with rows as (select *, starts_with(source, 'src1') as mystery from documents),
+    known as (select text, min(doc_id) as doc_id from rows where not mystery and trim(text) <> '' group by text)
     select a.doc_id as stockcode_x, b.doc_id as stockcode_y, 'desc_match' as method, 'Good' as match_level,
            a.lang as lang_x, b.lang as lang_y, (a.n_chars - length(a.source)) as savings
-    from rows a join rows b on a.text = b.text where a.mystery and not b.mystery and a.n_chars > 100""",
+    from rows a join known k using (text) join rows b on b.doc_id = k.doc_id where a.mystery and a.n_chars > 100""",
 )
 def text_match_enriched(spark, folder):
+    """Each mystery with the first known product of its text; the others are its members."""
     rows = documents(spark, folder).withColumn("stockcode", F.col("doc_id")).withColumn("is_for_delivery", F.col("n_chars") > 100)
     matches, _ = exact.exact_text_match(rows, "doc_id", "mystery", {"text": "desc_match"})
     return assemble.enrich_both(rows, matches, ["lang"], F.col("n_chars") - F.length("source"))
 
 
+NIGHTLY_SQL = f"""{CATALOGUE_SQL}, {KNN_SQL},
+texts as (
+  select stockcode, mystery, 'desc_match' as method, varietal || ' ' || bottle_closure as match_key from catalogue
+  union all select stockcode, mystery, 'rev_match', description || ' ' || size from catalogue)"""
+NIGHTLY = nightly.MatchSettings(
+    numerics=["price", "size"], nominals=["varietal", "bottle_closure"], texts={"rich_description": "desc_match", "review1_text": "rev_match"},
+    closure="bottle_closure", before="price_before", after="price_after",
+)
+
+
+def _nightly(spark, folder):
+    """Two loads of the parts; the older one has other prices and no texts."""
+    now = part_catalogue(spark, folder).withColumns(
+        {
+            "load_ts": F.lit("2024-05-02 04:00:00").cast("timestamp"),
+            "rich_description": F.concat_ws(" ", "varietal", "bottle_closure"),
+            "review1_text": F.concat_ws(" ", "description", "size"),
+        }
+    )
+    blank = F.lit(None).cast("string")
+    before = now.withColumns(
+        {"load_ts": F.lit("2024-05-01 04:00:00").cast("timestamp"), "price": F.col("price") + 1, "rich_description": blank, "review1_text": blank}
+    )
+    return nightly.nightly_matches(before.unionByName(now), NIGHTLY)
+
+
+@query(
+    "nightly_match",
+    f"""with {NIGHTLY_SQL},
+    firsts as (select method, match_key, min(stockcode) as stockcode_y from texts where not mystery group by all),
+    matches as (
+      select t.stockcode as stockcode_x, f.stockcode_y from texts t join firsts f using (method, match_key) where t.mystery
+      union select stockcode_x, stockcode_y from knn where match_level = 'Good')
+    select distinct stockcode_x, stockcode_y, y.description, x.varietal, x.bottle_closure, x.price_before::double as price_before,
+           x.price_after::double as price_after, round(x.price_before - x.price_after, 2)::double as savings
+    from matches m join catalogue x on x.stockcode = m.stockcode_x and x.is_for_delivery
+    join catalogue y on y.stockcode = m.stockcode_y""",
+)
+def nightly_match(spark, folder):
+    """The whole nightly run: newest load, structural and text matches in one table with savings."""
+    return _nightly(spark, folder)[0]
+
+
+@query(
+    "nightly_members",
+    f"""with {NIGHTLY_SQL}
+    select method, sha256(match_key) as match_key, stockcode from texts
+    where not mystery and (method, match_key) in (select (method, match_key) from texts where mystery)""",
+)
+def nightly_members(spark, folder):
+    return _nightly(spark, folder)[1]
+
+
 @query(
     "all_deals",
     f"""with {CATALOGUE_SQL}

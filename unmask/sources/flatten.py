@@ -18,16 +18,35 @@ DENIED_CODE_PART = "672366"
 DENIED_DESCRIPTION = "Secret Selection"
 
 
+# A quoted string with its escapes, or a stretch without quotes.
+_LITERAL_PARTS = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
+
+
 def literal_cell(cell: Column, data_type: T.DataType) -> Column:
     """Parse a cell written as a Python literal by way of JSON; text is never evaluated.
 
-    Single quotes are accepted; None, True and False are replaced where a value stands. A cell
-    that cannot be parsed becomes null.
+    Strings in either quotes become JSON strings with their escapes; None, True and False count only
+    outside of strings. A cell that cannot be parsed becomes null.
     """
-    json = cell
-    for token, value in (("None", "null"), ("True", "true"), ("False", "false")):
-        json = F.regexp_replace(json, rf"(?<=[:\[,])\s*{token}(?=\s*[,\]}}])", f" {value}")
-    return F.from_json(json, data_type, {"mode": "PERMISSIVE"})
+
+    def string(part: Column) -> Column:
+        inner = F.substring(part, F.lit(2), F.length(part) - 2)
+        # An escaped backslash first, so that what follows it is not taken for an escape.
+        for pattern, value in (
+            (r"\\\\", r"\\u005c"), (r"\\'", "'"), (r'\\"', r"\\u0022"), (r'"', r"\\u0022"),
+            (r"\\x([0-9a-fA-F]{2})", r"\\u00$1"), (r"\\a", r"\\u0007"), (r"\\v", r"\\u000b"), (r"\\0", r"\\u0000"),
+        ):
+            inner = F.regexp_replace(inner, pattern, value)
+        return F.concat(F.lit('"'), inner, F.lit('"'))
+
+    def bare(part: Column) -> Column:
+        for token, value in (("None", "null"), ("True", "true"), ("False", "false")):
+            part = F.regexp_replace(part, rf"\b{token}\b", value)
+        return part
+
+    parts = F.regexp_extract_all(cell, F.lit(_LITERAL_PARTS), F.lit(0))
+    json = F.transform(parts, lambda p: F.when(p.rlike("^['\"]"), string(p)).otherwise(bare(p)))
+    return F.from_json(F.array_join(json, ""), data_type, {"mode": "PERMISSIVE", "allowUnquotedControlChars": "true"})
 
 
 def failed_cells(df: DataFrame, cell: str, data_type: T.DataType) -> DataFrame:
@@ -58,10 +77,13 @@ def reviews(items: Column) -> list[Column]:
     ]
 
 
-def attribute(details: Column, name: str) -> Column:
-    """Value of a named attribute in a row's own list; the smallest one if it repeats."""
-    values = F.transform(F.filter(details, lambda d: d["Name"] == name), lambda d: d["Value"])
-    return F.array_min(values)
+def attribute_map(details: Column) -> Column:
+    """Name to value of a row's own attribute list; the smallest value if a name repeats."""
+    entries = F.transform(details, lambda d: F.struct(d["Name"].alias("key"), d["Value"].alias("value")))
+    # Nulls sort first and are left out, so the first entry of a name is its smallest value.
+    entries = F.array_sort(F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull()))
+    first = F.filter(entries, lambda e, i: (i == 0) | (F.get(entries, i - 1)["key"] != e["key"]))
+    return F.map_from_entries(first)
 
 
 def products(payload: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -81,6 +103,9 @@ def flatten_products(
     attributes: list[str] | None = None,
     mystery_rule: str = "description",
     only_categories: list[str] | None = None,
+    denied_codes: list[str] = DENIED_CODES,
+    denied_code_part: str | None = DENIED_CODE_PART,
+    denied_description: str | None = DENIED_DESCRIPTION,
 ) -> DataFrame:
     """Wide rows from product structs, one per stock code (the last in ``order``).
 
@@ -88,12 +113,16 @@ def flatten_products(
     left out. Attribute columns come from the row's own list, so the pivot needs no shuffle.
     """
     names = sch.ATTRIBUTES if attributes is None else attributes
-    df = df.filter(sc.is_none_of(F.col("Stockcode"), DENIED_CODES) & ~sc.contains_text(F.col("Stockcode"), DENIED_CODE_PART))
-    df = df.filter(~sc.contains_text(F.col("Description"), DENIED_DESCRIPTION))
+    df = df.filter(sc.is_none_of(F.col("Stockcode"), denied_codes))
+    if denied_code_part:
+        df = df.filter(~sc.contains_text(F.col("Stockcode"), denied_code_part))
+    if denied_description:
+        df = df.filter(~sc.contains_text(F.col("Description"), denied_description))
     if only_categories:
         df = df.filter(nth_field(F.col("Categories"), 0, "UrlFriendlyName").isin(only_categories))
     # the last product of a code is chosen before the many columns are made
     df = keep_last(df.filter(F.size("AdditionalDetails") > 0), ["Stockcode"], order)
+    df = df.withColumn("_attributes", attribute_map(F.col("AdditionalDetails")))
     have = set(df.columns)
     plain = [
         F.col(f.name).alias(sch.flat_name(f.name))
@@ -118,7 +147,7 @@ def flatten_products(
         *(reviews(F.col("Reviews")) if "Reviews" in have else []),
         *prices,
         *nested,
-        *[attribute(F.col("AdditionalDetails"), a).alias(sch.flat_name(a)) for a in names],
+        *[F.col("_attributes")[a].alias(sch.flat_name(a)) for a in names],
         sc.is_masked(F.col("Description"), F.col("Stockcode"), mystery_rule).alias("mystery"),
     )
 

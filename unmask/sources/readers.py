@@ -11,20 +11,27 @@ from pyspark.sql import types as T
 from unmask.functions import scalars as sc
 from unmask.sources import schema as sch
 
-_OVERFLOW = "_overflow"
+_RECORD = "_record"
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType, strict: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType, strict: bool = False, multi_line: bool = True
+) -> DataFrame:
     """CSV with a header. Rows with too many fields are skipped, short rows are filled with null.
 
-    ``strict`` raises on any row that does not fit.
+    ``strict`` raises on any row that does not fit. ``multi_line`` allows line ends inside quotes, which
+    makes each file one task; without it large files are split.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if strict:
         return reader.schema(schema).option("mode", "FAILFAST").csv(paths)
-    wider = T.StructType([*schema.fields, T.StructField(_OVERFLOW, T.StringType())])
-    rows = reader.schema(wider).option("mode", "PERMISSIVE").csv(paths)
-    return rows.filter(F.col(_OVERFLOW).isNull()).drop(_OVERFLOW)
+    kept = T.StructType([*schema.fields, T.StructField(_RECORD, T.StringType())])
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD)
+    rows = reader.schema(kept).csv(paths)
+    # The record is kept where a row does not fit; commas outside of quotes separate its fields.
+    bare = F.regexp_replace(_RECORD, '"(?:[^"]|"")*"', "")
+    fields = F.regexp_count(bare, F.lit(",")) + 1
+    return rows.filter(F.col(_RECORD).isNull() | (fields <= len(schema.fields))).drop(_RECORD)
 
 
 def read_payload(spark: SparkSession, paths: str | list[str], schema: T.StructType = sch.PAYLOAD) -> DataFrame:
