@@ -2,8 +2,8 @@
 
 A shard file is Parquet with one row for each block of whole documents in ascending doc_id order.
 Within a block, frequent pairs of neighbouring symbols are replaced by new symbols again and again, as
-long as some pair is frequent; all frequent pairs of a round are replaced together, the more frequent
-first where they overlap. A row holds:
+long as that shortens it; all frequent pairs of a round are replaced together, the more frequent first
+where they overlap. A row holds:
 
 * ``part``, ``block``: file part and number within it; their order is the order of the ids;
 * ``base``: symbols from here on are rules; ``width``: bytes of a stored symbol (2 or 4);
@@ -34,6 +34,8 @@ from unmask.llm.tokens import json_encoder, slices
 BLOCK_TOKENS = 1 << 20
 MIN_COUNT = 64
 ROUND_RULES = 4_096
+# A round that would shorten a block by no more than this share ends it.
+MIN_GAIN = 0.001
 SAMPLE = 1_024
 _BUCKET_BITS = 18
 
@@ -49,57 +51,67 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT, max_rules: int | None
     if max_rules is None:
         # Symbols stay within two bytes where the ids do.
         max_rules = (1 << 16) - base if base < 1 << 16 else 1 << 24
-    s = ids.astype(np.uint64)
+    s = ids.astype(np.uint32)
     rules, tokens = [np.zeros((0, 2), dtype=np.uint32)], [np.zeros(0, dtype=np.uint32)]
-    made = 0
+    made, turn = 0, 0
     while len(s) > 1 and made < max_rules:
-        code = s[:-1] << np.uint64(32) | s[1:]
-        bucket = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+        turn += 1
+        # Pairs are counted in hash buckets, with another hash in every round. A full bucket stands for
+        # the pair of one of its places; others that fell into it wait for a later round.
+        a, b = (np.uint32((turn * k) & 0xFFFFFFFF | 1) for k in (0x9E3779B1, 0x85EBCA77))
+        bucket = (s[:-1] * a + (s[1:] ^ (s[1:] >> np.uint32(7))) * b) >> np.uint32(32 - _BUCKET_BITS)
         per_bucket = np.bincount(bucket, minlength=1 << _BUCKET_BITS)
-        # Pairs outside the fullest buckets cannot be the most frequent; they wait for a later round.
         level = max(min_count, int(np.partition(per_bucket, -ROUND_RULES)[-ROUND_RULES]))
         at = np.flatnonzero((per_bucket >= level)[bucket])
-        pairs, which, counts = np.unique(code[at], return_inverse=True, return_counts=True)
-        # Less frequent ones after more frequent ones; equal counts by pair.
-        order = np.argsort(-counts, kind="stable")[: min(ROUND_RULES, max_rules - made)]
-        order = order[counts[order] >= min_count]
-        if not len(order):
+        if not len(at):
             break
-        rank = np.zeros(len(pairs), dtype=np.int64)
-        rank[order] = np.arange(len(order), 0, -1)
-        here = np.zeros(len(s) + 1, dtype=np.int64)
-        here[at + 1] = rank[which]
+        group = bucket[at]
+        example = np.zeros(1 << _BUCKET_BITS, dtype=np.int64)
+        example[group] = at
+        example = example[group]
+        alike = (s[at] == s[example]) & (s[at + 1] == s[example + 1])
+        at, group, example = at[alike], group[alike], example[alike]
+        counts = np.bincount(group, minlength=1 << _BUCKET_BITS)
+        full = np.flatnonzero(counts >= min_count)
+        # The more frequent go first where pairs overlap; equal counts by bucket.
+        full = full[np.argsort(-counts[full], kind="stable")][: min(ROUND_RULES, max_rules - made)]
+        rank = np.zeros(1 << _BUCKET_BITS, dtype=np.int32)
+        rank[full] = np.arange(len(full), 0, -1)
+        here = np.zeros(len(s) + 1, dtype=np.int32)
+        here[at + 1] = rank[group]
         own = here[1:-1]
         at = np.flatnonzero((own > here[:-2]) & (own >= here[2:]))
-        used, new = np.unique(len(order) - own[at], return_inverse=True)
-        chosen = pairs[order[used]]
-        pair = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        if len(at) <= MIN_GAIN * len(s):
+            break
+        used, first, new = np.unique(len(full) - own[at], return_index=True, return_inverse=True)
+        pair = np.stack([s[at[first]], s[at[first] + 1]], axis=1)
         known = np.concatenate(tokens)
         size = np.where(pair < base, 1, known[np.maximum(pair.astype(np.int64) - base, 0)] if len(known) else 1)
         rules.append(pair)
         tokens.append(size.sum(axis=1).astype(np.uint32))
-        s[at] = (base + made + new).astype(np.uint64)
-        gone = np.ones(len(s), dtype=bool)
-        gone[at + 1] = False
-        s = s[gone]
+        s[at] = (base + made + new).astype(np.uint32)
+        stays = np.ones(len(s), dtype=bool)
+        stays[at + 1] = False
+        s = s[stays]
         made += len(used)
-    return base, np.concatenate(rules), np.concatenate(tokens), s.astype(np.uint32)
+    return base, np.concatenate(rules), np.concatenate(tokens), s
 
 
 def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
-    """Ids that symbols stand for; one step of all rules at a time."""
-    s = symbols.astype(np.uint32)
-    while True:
-        rule = s >= base
-        if not rule.any():
-            return s
-        at = np.cumsum(1 + rule) - 1 - rule
-        out = np.empty(int(at[-1]) + 1 + int(rule[-1]), dtype=np.uint32)
-        out[at[~rule]] = s[~rule]
-        pair = rules[s[rule] - base]
-        out[at[rule]] = pair[:, 0]
-        out[at[rule] + 1] = pair[:, 1]
-        s = out
+    """Ids that symbols stand for, copied out of a table of all rules' expansions."""
+    if not len(rules):
+        return symbols.astype(np.uint32)
+    ids = np.arange(base, dtype="<u4")
+    spelled: list[bytes] = []
+    for left, right in rules.tolist():
+        first = ids[left].tobytes() if left < base else spelled[left - base]
+        spelled.append(first + (ids[right].tobytes() if right < base else spelled[right - base]))
+    table = np.concatenate([ids, np.frombuffer(b"".join(spelled), dtype="<u4")])
+    size = np.concatenate([np.ones(base, dtype=np.int64), [len(x) // 4 for x in spelled]])
+    place = np.concatenate([[0], np.cumsum(size)[:-1]])
+    n = size[symbols]
+    ends = np.cumsum(n)
+    return table[np.repeat(place[symbols] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Block:
