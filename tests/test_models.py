@@ -7,8 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from unmask.functions import text as tx
-from unmask.operators import classify, semantic, text_match, weights
-from unmask.sources import readers, writers
+from unmask.operators import blocks, classify, semantic, text_match, weights
 
 
 def test_unit_vectors_and_vocabulary(spark):
@@ -34,33 +33,43 @@ def test_cosine_many_equals_numpy(spark):
     rows, queries = rnd.normal(size=(300, 8)), rnd.normal(size=(7, 8))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id int, v array<double>").repartition(5)
     qs = spark.createDataFrame([(f"q{i}", v.tolist()) for i, v in enumerate(queries)], "q string, v array<double>")
-    semantic.QUERY_BATCH, kept = 3, semantic.QUERY_BATCH
-    try:
-        got = semantic.cosine_top_k_many(df, "id", "v", qs, "q", "v", 4).collect()
-    finally:
-        semantic.QUERY_BATCH = kept
+    got = semantic.cosine_top_k_many(df, "id", "v", qs, "q", "v", 4).collect()
     cos = (queries @ rows.T) / np.linalg.norm(queries, axis=1)[:, None] / np.linalg.norm(rows, axis=1)
     want = {(f"q{i}", n + 1): int(j) for i in range(7) for n, j in enumerate(np.argsort(-cos[i])[:4])}
     assert {(r["q"], r["rank"]): r["id"] for r in got} == want
+    small = blocks.best_in_blocks(
+        qs.select(F.col("q").alias("_q"), "v"), df.select(F.col("id").alias("_id"), "v"),
+        lambda a, b: blocks.matrix(a["v"]) @ blocks.matrix(b["v"]).T, 4, 6, block=2,
+    )
+    dots = queries @ rows.T
+    want = {(f"q{i}", n + 1): int(j) for i in range(7) for n, j in enumerate(np.argsort(-dots[i])[:4])}
+    assert {(r["_q"], r["rank"]): r["_id"] for r in small.collect()} == want
 
 
-def test_word_vectors_and_search(spark, tmp_path):
+def test_word_vectors_and_search(spark):
     rnd = random.Random(1)
     topics = [["cherry", "plum", "oak", "spice"], ["lemon", "lime", "crisp", "dry"]]
-    docs = [(i, " ".join(rnd.choices(topics[i % 2], k=30))) for i in range(60)] + [(60, "")]
+    docs = [(i, " ".join(rnd.choices(topics[i % 2], k=30))) for i in range(60)] + [(60, ""), (61, "once"), (62, None)]
     df = spark.createDataFrame(docs, "id int, text string")
-    model = semantic.train_word_vectors(df, "text", size=12, window=4, partitions=1)
-    path = str(tmp_path / "model")
-    writers.save_model(model, path)
-    model = readers.load_word_vectors(path)
-    assert semantic.similar_words(model, "plum", 3).count() == 3
-    vectors = semantic.word_vectors(model)
+    vectors = semantic.word_vectors(df, "id", "text", size=12, window=4)
+    assert {r["term"] for r in vectors.collect()} == set(topics[0] + topics[1])
+    near = semantic.similar_words(vectors, "plum", 3)
+    assert {r["term"] for r in near.collect()} == {"cherry", "oak", "spice"}
+    assert semantic.similar_words(vectors, "plum", 3, restrict_vocab=2).count() <= 2
     doc_vectors = semantic.document_vectors(df, "id", "text", vectors)
-    assert doc_vectors.filter("id = 60").count() == 0
-    query = semantic.query_vector(vectors, "cherry plum unknown")
-    near = [r["id"] for r in semantic.cosine_top_k(doc_vectors, "id", "vector", query, 5).collect()]
-    assert all(i % 2 == 0 for i in near)
-    assert semantic.query_vector(vectors, "unknown") is None
+    assert doc_vectors.filter("id >= 60").count() == 0
+    queries = spark.createDataFrame([(1, "cherry plum unknown"), (2, "unknown"), (3, "Lime lime dry")], "q int, text string")
+    asked = semantic.query_vectors(queries, "q", "text", vectors)
+    found = semantic.cosine_top_k_many(doc_vectors, "id", "vector", asked, "q", "vector", 5).collect()
+    assert {r["q"] for r in found} == {1, 3}
+    assert all(r["id"] % 2 == (r["q"] == 3) for r in found)
+
+
+def test_ordinal_codes(spark):
+    values = [f"v{i * 37 % 500:03}" for i in range(700)] + [None]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(6)
+    got = {r["value"]: r["code"] for r in classify.ordinal_codes(df, "v").collect()}
+    assert got == {v: i for i, v in enumerate(sorted({v for v in values if v}))}
 
 
 def test_categorical_bayes_with_unseen_values(spark):

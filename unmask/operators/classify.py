@@ -1,17 +1,21 @@
-"""Classifiers. The label is an attribute with a bounded number of values, such as a category."""
+"""Classifiers. Naive Bayes takes any number of classes; trees take an attribute with few values."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from unmask.operators.blocks import best_in_blocks, matrix
 from unmask.session import durable
 
-MAX_CLASSES = 10_000
+SCORE_DIGITS = 6
+
 # Fixed values of the split: share of test rows in percent and the seed.
 TEST_PERCENT = 33
 SPLIT_SEED = 7
@@ -25,36 +29,61 @@ def split_by_key(df: DataFrame, key: str, test_percent: int = TEST_PERCENT, seed
 
 
 def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): alphabetical position of each distinct value, from 0."""
-    indexer = StringIndexer(inputCol=column, outputCol="code", stringOrderType="alphabetAsc", handleInvalid="skip")
-    values = df.select(F.col(column).cast("string").alias(column)).filter(F.col(column).isNotNull()).distinct()
-    return indexer.fit(values).transform(values).select(F.col(column).alias("value"), F.col("code").cast("int"))
+    """(value, code): alphabetical position of each distinct value, from 0.
+
+    Values are sorted over many tasks; a task numbers its own and adds how many lie before its range.
+    """
+    values = df.select(F.col(column).cast("string").alias("value")).filter("value is not null").distinct()
+    sorted_ = durable(values.orderBy("value").withColumn("at", F.monotonically_increasing_id()), "values")
+    part = F.shiftright("at", 33)
+    sizes = sorted_.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = sorted_.select("value", part.alias("part"), (F.col("at") - F.shiftleft(part, 33)).alias("nth"))
+    return own.join(offsets, "part").select("value", (F.col("offset") + F.col("nth")).cast("int").alias("code"))
+
+
+def gaussian_model(train: DataFrame, label: str, features: Column) -> DataFrame:
+    """Gaussian naive Bayes: (label, prior, mean, variance), a row for each class, of which there may be any number.
+
+    Variances are raised by 1e-9 of the largest variance of a feature.
+    """
+    rows = train.select(F.col(label).cast("string").alias("label"), features.alias("x")).filter("label is not null")
+    long = rows.select("label", F.posexplode("x").alias("pos", "x"))
+    widest = long.groupBy("pos").agg(F.var_pop("x").alias("v")).agg(F.max("v")).first()[0] or 0.0
+    parts = long.groupBy("label", "pos").agg(F.avg("x").alias("mean"), (F.var_pop("x") + F.lit(widest * 1e-9)).alias("variance"))
+    listed = F.sort_array(F.collect_list(F.struct("pos", "mean", "variance")))
+    arrays = parts.groupBy("label").agg(listed.alias("l")).select("label", F.col("l.mean").alias("mean"), F.col("l.variance").alias("variance"))
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    prior = F.log(F.col("n") / F.lit(float(rows.count() or 1)))
+    return arrays.join(sizes.select("label", prior.alias("prior")), "label")
 
 
-def check_classes(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> None:
-    """Refuse labels whose classes would not fit a model held by every task."""
-    if df.select(label).distinct().limit(max_classes + 1).count() > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} values; choose an attribute as the label")
+def gaussian_predict(model: DataFrame, df: DataFrame, key: str, features: Column, keep: list[str] | None = None) -> DataFrame:
+    """(key, *keep, predicted): the most likely class; ties go to the smaller label."""
+
+    def likelihood(rows: pd.DataFrame, classes: pd.DataFrame) -> np.ndarray:
+        x, mean, variance = matrix(rows["x"]), matrix(classes["mean"]), matrix(classes["variance"])
+        out = classes["prior"].to_numpy() - 0.5 * np.log(2 * np.pi * variance).sum(axis=1)
+        out = np.repeat(out[None, :], len(x), axis=0)
+        for d in range(x.shape[1]):
+            out -= (x[:, d, None] - mean[:, d]) ** 2 / (2 * variance[:, d])
+        return out
+
+    rows = df.select(F.col(key).alias("_q"), features.alias("x"))
+    best = best_in_blocks(rows, durable(model, "classes").withColumnRenamed("label", "_id"), likelihood, 1, SCORE_DIGITS)
+    return df.select(key, *(keep or [])).join(best.select(F.col("_q").alias(key), F.col("_id").alias("predicted")), key)
 
 
 def _indexed(df: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
-    check_classes(df, label)
     text = df.withColumn("_label", F.col(label).cast("string"))
     indexer = StringIndexer(inputCol="_label", outputCol="_y", stringOrderType="alphabetAsc", handleInvalid="skip")
     model = indexer.fit(text)
     return model.transform(text), model.labels
 
 
-def gaussian_model(train: DataFrame, label: str, features: Column) -> PipelineModel:
-    """Gaussian naive Bayes; variances are raised by 1e-9 of the largest one."""
-    indexed, labels = _indexed(train, label)
-    indexed = indexed.withColumn("_x", array_to_vector(features))
-    bayes = NaiveBayes(modelType="gaussian", featuresCol="_x", labelCol="_y", predictionCol="_p")
-    return PipelineModel([bayes.fit(indexed), IndexToString(inputCol="_p", outputCol="predicted", labels=labels)])
-
-
 def forest_model(train: DataFrame, label: str, features: Column, trees: int = 20, depth: int = 6) -> PipelineModel:
-    """Tree ensemble for several classes."""
+    """Tree ensemble for several classes; the label is an attribute with few values, as trees hold counts of all."""
     indexed, labels = _indexed(train, label)
     indexed = indexed.withColumn("_x", array_to_vector(features))
     forest = RandomForestClassifier(
@@ -78,7 +107,6 @@ def categorical_bayes(
     share a value with it, and with the one class of highest base. Rows are collapsed to their
     distinct feature values first. Values not seen in training add nothing.
     """
-    check_classes(train, label)
     train = train.select(F.col(label).cast("string").alias("_c"), *[F.col(f).cast("string").alias(f) for f in features])
     train = durable(train.filter("_c is not null"), "train")
     long = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in features])).alias("p")
@@ -99,7 +127,7 @@ def categorical_bayes(
     profiles = rows.select("_pid", *features).distinct()
     probes = profiles.select("_pid", long).select("_pid", "p.f", "p.v").filter("v is not null")
     shared = probes.join(gains, ["f", "v"]).groupBy("_pid", "_c").agg(F.sum("gain").alias("gain"))
-    scored = shared.join(F.broadcast(classes), "_c").select("_pid", "_c", (F.col("base") + F.col("gain")).alias("score"))
+    scored = shared.join(classes, "_c").select("_pid", "_c", (F.col("base") + F.col("gain")).alias("score"))
     top = fallback.first()
     floor_class = profiles.select("_pid", F.lit(top["_c"]).alias("_c"), F.lit(top["base"]).alias("score"))
     # the fallback class may be listed twice; its fuller score is the larger one

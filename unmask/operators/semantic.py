@@ -1,66 +1,69 @@
-"""Word embeddings, weighted document vectors and cosine search."""
+"""Word vectors from neighbour counts, weighted document vectors and cosine search."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark.ml.feature import Word2Vec, Word2VecModel
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from unmask.functions import text as tx
 from unmask.operators import weights
+from unmask.operators.blocks import best_in_blocks, matrix
 from unmask.session import durable
 
-# Embedding size, window, rarest word kept, passes over the text.
+# Vector size, window, rarest word kept.
 VECTOR_SIZE = 100
 WINDOW = 10
 MIN_COUNT = 5
-EPOCHS = 6
-# Query vectors are handed to every task, so they go in batches of this many.
-QUERY_BATCH = 1_000
 SCORE_DIGITS = 6
 
 
-def train_word_vectors(
-    df: DataFrame,
-    text: str,
-    size: int = VECTOR_SIZE,
-    window: int = WINDOW,
-    min_count: int = MIN_COUNT,
-    epochs: int = EPOCHS,
-    partitions: int | None = None,
-    seed: int = 7,
-) -> Word2VecModel:
-    """Skip-gram vectors over the text's words; rare and unseen words have none.
+def word_vectors(
+    df: DataFrame, key: str, text: str, size: int = VECTOR_SIZE, window: int = WINDOW, min_count: int = MIN_COUNT
+) -> DataFrame:
+    """(term, n, vector): positive pointwise mutual information of each word with its neighbours.
 
-    Training runs in parallel over partitions, by default as many as the session has cores.
+    Words seen fewer than ``min_count`` times are left out first; neighbours are the next and the
+    previous ``window`` words of the same document. The information with each neighbour is added, with
+    a sign, at one of ``size`` places that a digest of the neighbour names, so vectors have one size
+    whatever the vocabulary. Only counts and sums: any number of tasks gives the same vectors.
     """
-    words = df.filter(F.col(text).isNotNull()).select(tx.ascii_words(F.col(text)).alias("words"))
-    trainer = Word2Vec(
-        vectorSize=size,
-        windowSize=window,
-        minCount=min_count,
-        maxIter=epochs,
-        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
-        seed=seed,
-        inputCol="words",
-        outputCol="vector",
+    words = df.filter(F.col(text).isNotNull()).select(
+        F.col(key).alias("id"), F.posexplode(tx.ascii_words(F.col(text))).alias("pos", "term")
     )
-    return trainer.fit(words)
-
-
-def similar_words(model: Word2VecModel, word: str, n: int = 10) -> DataFrame:
-    return model.findSynonyms(word, n)
-
-
-def word_vectors(model: Word2VecModel) -> DataFrame:
-    return model.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vector"))
+    frequent = words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+    frequent = durable(frequent, "frequent-words")
+    kept = words.join(frequent.select("term"), "term")
+    order = Window.partitionBy("id").orderBy("pos")
+    ahead = F.array(*[F.lead("term", i).over(order) for i in range(1, window + 1)])
+    pairs = kept.withColumn("ahead", ahead).select("term", F.explode("ahead").alias("near")).filter("near is not null")
+    once = durable(pairs.groupBy("term", "near").agg(F.count(F.lit(1)).alias("n")), "neighbours")
+    both = once.union(once.select("near", "term", "n")).groupBy("term", "near").agg(F.sum("n").alias("n"))
+    margins = durable(once.select("term", "n").union(once.select("near", "n")).groupBy("term").agg(F.sum("n").alias("m")), "margins")
+    total = float(margins.agg(F.sum("m")).first()[0] or 1)
+    digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint")
+    place, sign = digest % size, F.when(F.floor(digest / size) % 2 == 0, 1.0).otherwise(-1.0)
+    theirs = margins.select(F.col("term").alias("near"), F.col("m").alias("m2"), place.alias("place"), sign.alias("sign"))
+    known = both.join(margins, "term").join(theirs, "near")
+    pmi = F.log(F.col("n") * F.lit(total) / (F.col("m").cast("double") * F.col("m2")))
+    parts = known.select("term", "place", (F.col("sign") * F.greatest(pmi, F.lit(0.0))).alias("x"))
+    parts = parts.groupBy("term", "place").agg(F.sum("x").alias("x"))
+    held = F.map_from_entries(F.collect_list(F.struct("place", "x")))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda d: F.coalesce(F.col("held")[d.cast("bigint")], F.lit(0.0)))
+    vectors = parts.groupBy("term").agg(held.alias("held")).select("term", dense.alias("vector"))
+    return vectors.join(frequent, "term").select("term", "n", "vector")
+
+
+def similar_words(vectors: DataFrame, word: str, n: int = 10, restrict_vocab: int | None = None) -> DataFrame:
+    """(term, cosine): the words nearest to one; ``restrict_vocab`` looks among the most frequent only."""
+    own = vectors.filter(F.col("term") == word).select("vector").first()
+    if restrict_vocab:
+        vectors = vectors.orderBy(F.desc("n"), "term").limit(restrict_vocab)
+    others = vectors.filter(F.col("term") != word)
+    return cosine_top_k(others, "term", "vector", own["vector"] if own else [0.0] * VECTOR_SIZE, n)
 
 
 def vector_mean(df: DataFrame, group: list[str], vector: str, weight: Column | None = None) -> DataFrame:
@@ -78,23 +81,17 @@ def document_vectors(df: DataFrame, key: str, text: str, vectors: DataFrame) ->
     """
     counts = durable(weights.term_counts(df, key, tx.ascii_words(F.col(text))), "word-counts")
     weighted = weights.bm25(counts).join(vectors, "term")
-    scaled = weighted.withColumn(
-        "vector", F.zip_with("vector", F.array_repeat("weight", F.size("vector")), lambda a, b: a * b)
-    )
+    scaled = weighted.withColumn("vector", F.transform("vector", lambda x: x * F.col("weight")))
     return vector_mean(scaled, ["id"], "vector", F.col("tf").cast("double"))
 
 
-def query_vector(vectors: DataFrame, query: str) -> list[float] | None:
-    """Plain mean of the vectors of the query's words; repeated words count each time."""
-    counts: dict[str, int] = {}
-    for word in query.lower().split():
-        counts[word] = counts.get(word, 0) + 1
-    # a query is one typed text, so its words are a short list
-    found = vectors.filter(F.col("term").isin(list(counts))).collect()
-    if not found:
-        return None
-    stacked = np.array([r["vector"] for r in found])
-    return np.average(stacked, axis=0, weights=[counts[r["term"]] for r in found]).tolist()
+def query_vectors(queries: DataFrame, key: str, text: str, vectors: DataFrame) -> DataFrame:
+    """(key, vector): plain mean of the vectors of a query's known words; repeats count each time.
+
+    Queries without a known word have no vector.
+    """
+    words = queries.select(F.col(key), F.explode(F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: w != "")).alias("term"))
+    return vector_mean(words.join(vectors.select("term", "vector"), "term"), [key], "vector")
 
 
 def cosine_top_k(df: DataFrame, key: str, vector: str, query: list[float], k: int = 5) -> DataFrame:
@@ -113,83 +110,14 @@ def cosine_top_k(df: DataFrame, key: str, vector: str, query: list[float], k: in
 def cosine_top_k_many(
     df: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, query_vector: str, k: int = 5
 ) -> DataFrame:
-    """(query_key, key, cosine, rank): the k nearest rows of every query vector, exactly.
-
-    Queries go to the tasks in batches; a task multiplies its rows by a batch and keeps k rows
-    per query, so only partitions x queries x k rows are shuffled.
-    """
-    spark = df.sparkSession
-    rows = df.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v")).filter("_v is not null")
-    id_type = rows.schema["_id"].dataType.simpleString()
-    query_type = queries.schema[query_key].dataType.simpleString()
-    arrow_type = to_arrow_type(queries.schema[query_key].dataType)
-    batches: list[DataFrame] = []
-    pending: list = []
-
-    def flush() -> None:
-        if not pending:
-            return
-        names = [r[0] for r in pending]
-        matrix = np.array([r[1] for r in pending], dtype=float)
-        lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-        shared = spark.sparkContext.broadcast((names, matrix / np.where(lengths == 0, np.nan, lengths)))
-        batches.append(rows.mapInArrow(_top_per_task(shared, k, arrow_type), f"_q {query_type}, _id {id_type}, _c double"))
-        pending.clear()
-
-    for row in queries.select(query_key, F.col(query_vector).cast("array<double>")).toLocalIterator():
-        pending.append(row)
-        if len(pending) == QUERY_BATCH:
-            flush()
-    flush()
-    if not batches:
-        return spark.createDataFrame([], f"{query_key} {query_type}, {key} {id_type}, cosine double, rank int")
-    found = batches[0]
-    for more in batches[1:]:
-        found = found.unionByName(more)
-    order = Window.partitionBy("_q").orderBy(F.desc("_r"), "_id")
-    return (
-        found.withColumn("_r", F.round("_c", SCORE_DIGITS))
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(F.col("_q").alias(query_key), F.col("_id").alias(key), F.col("_c").alias("cosine"), "rank")
-    )
+    """(query_key, key, cosine, rank): the k nearest rows of every query vector, exactly."""
 
+    def cosines(few: pd.DataFrame, many: pd.DataFrame) -> np.ndarray:
+        q, x = matrix(few["_v"]), matrix(many["_v"])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return (q @ x.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(x, axis=1)
 
-def _top_per_task(shared, k: int, query_type: pa.DataType):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, matrix = shared.value
-        kept_ids: list[np.ndarray] = [np.empty(0, dtype=object)] * len(names)
-        kept_cos: list[np.ndarray] = [np.empty(0)] * len(names)
-        id_type = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            id_type = batch.schema.field("_id").type
-            ids = np.array(batch.column("_id").to_pylist(), dtype=object)
-            flat = batch.column("_v").flatten().to_numpy(zero_copy_only=False)
-            vectors = flat.reshape(batch.num_rows, -1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                cosines = (matrix @ vectors.T) / np.linalg.norm(vectors, axis=1)
-            for i in range(len(names)):
-                valid = ~np.isnan(cosines[i])
-                all_ids = np.concatenate([kept_ids[i], ids[valid]])
-                all_cos = np.concatenate([kept_cos[i], cosines[i][valid]])
-                rounded = np.round(all_cos, SCORE_DIGITS)
-                near = np.arange(len(rounded))
-                if len(rounded) > k:
-                    near = np.flatnonzero(rounded >= np.partition(rounded, -k)[-k])
-                order = sorted(near, key=lambda j: (-rounded[j], all_ids[j]))[:k]
-                kept_ids[i], kept_cos[i] = all_ids[order], all_cos[order]
-        if id_type is None:
-            return
-        out_names = [n for n, c in zip(names, kept_cos) for _ in c]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(out_names, query_type),
-                pa.array([x for ids in kept_ids for x in ids], id_type),
-                pa.array(np.concatenate(kept_cos), pa.float64()),
-            ],
-            names=["_q", "_id", "_c"],
-        )
-
-    return run
+    rows = df.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v")).filter("_v is not null")
+    asked = queries.select(F.col(query_key).alias("_q"), F.col(query_vector).cast("array<double>").alias("_v")).filter("_v is not null")
+    found = best_in_blocks(asked, rows, cosines, k, SCORE_DIGITS)
+    return found.select(F.col("_q").alias(query_key), F.col("_id").alias(key), F.col("_s").alias("cosine"), "rank")

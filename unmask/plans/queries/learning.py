@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from unmask.functions import text as tx
 from unmask.operators import classify, profile, semantic
 from unmask.plans.queries.registry import query
 from unmask.plans.standins import documents, table
@@ -56,36 +55,98 @@ def cosine_single(spark, folder):
     return semantic.cosine_top_k(rows, "vec_id", "embedding", mean, 5).withColumn("cosine", F.round("cosine", 4))
 
 
-_MODELS: dict = {}
+WORDS_SQL = r"""
+words as (
+  select doc_id, unnest(w) as term, unnest(range(0, len(w))) as pos from (
+    select doc_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '[a-z0-9_]+')) as w from documents)),
+frequent as (select term, count(*) as n from words group by term having count(*) >= 5),
+kept as (select doc_id, term, row_number() over (partition by doc_id order by pos) as i from words join frequent using (term)),
+steps as (select doc_id, term, i, unnest(range(1, 11)) as step from kept),
+once as (
+  select a.term as a, b.term as b, count(*) as n from steps a join kept b on a.doc_id = b.doc_id and b.i = a.i + a.step group by all),
+both_ways as (select a, b, sum(n)::double as n from (select a, b, n from once union all select b, a, n from once) group by all),
+margins as (select a as term, sum(n)::double as m, ('0x' || substr(md5(a), 1, 8))::bigint as h from both_ways group by a),
+vectors as (
+  select o.a as term, y.h % 100 as place,
+    sum((case when (y.h // 100) % 2 = 0 then 1.0 else -1.0 end)::double
+      * greatest(ln(o.n * (select sum(m) from margins) / (x.m * y.m)), 0.0)) as x
+  from both_ways o join margins x on x.term = o.a join margins y on y.term = o.b group by all)"""
 
 
-def _word_model(spark, folder):
-    """Word vectors of the documents, trained once per session."""
-    slot = (spark.sparkContext.applicationId, folder)
-    if slot not in _MODELS:
-        _MODELS[slot] = semantic.train_word_vectors(documents(spark, folder), "text")
-    return _MODELS[slot]
+def _word_vectors(spark, folder):
+    return durable(semantic.word_vectors(documents(spark, folder), "doc_id", "text"), "word-vectors")
 
 
-def _frequent_word(spark, folder) -> str:
-    words = documents(spark, folder).select(F.explode(tx.ascii_words(F.col("text"))).alias("term"))
-    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), "term").first()["term"]
-
-
-@query("similar_words")
+@query(
+    "similar_words",
+    f"""with {WORDS_SQL},
+    norms as (select term, sqrt(sum(x * x)) as norm from vectors group by term),
+    top_word as (select term from frequent order by n desc, term limit 1),
+    dots as (
+      select v.term, sum(v.x * q.x) as dot from vectors v join vectors q using (place)
+      where q.term = (select term from top_word) and v.term <> q.term group by v.term),
+    cosines as (
+      select term, dot / (norm * (select norm from norms where term = (select term from top_word))) as c
+      from dots join norms using (term) where norm > 0)
+    select term, round(c, 4) as cosine from cosines order by round(c, 6) desc, term limit 10""",
+)
 def similar_words(spark, folder):
     """The ten words nearest to the most frequent one."""
-    return semantic.similar_words(_word_model(spark, folder), _frequent_word(spark, folder), 10)
+    vectors = _word_vectors(spark, folder)
+    word = vectors.orderBy(F.desc("n"), "term").first()["term"]
+    return semantic.similar_words(vectors, word, 10).withColumn("cosine", F.round("cosine", 4))
+
+
+@query(
+    "similar_frequent_words",
+    f"""with {WORDS_SQL},
+    norms as (select term, sqrt(sum(x * x)) as norm from vectors group by term),
+    top_word as (select term from frequent order by n desc, term limit 1),
+    near_words as (select term from frequent where term in (select term from vectors) order by n desc, term limit 200),
+    dots as (
+      select v.term, sum(v.x * q.x) as dot from vectors v join vectors q using (place)
+      where q.term = (select term from top_word) and v.term <> q.term and v.term in (select term from near_words) group by v.term)
+    select term, round(dot / (norm * (select norm from norms where term = (select term from top_word))), 4) as cosine
+    from dots join norms using (term) where norm > 0
+    order by round(dot / (norm * (select norm from norms where term = (select term from top_word))), 6) desc, term limit 10""",
+)
+def similar_frequent_words(spark, folder):
+    """The same among the 200 most frequent words."""
+    vectors = _word_vectors(spark, folder)
+    word = vectors.orderBy(F.desc("n"), "term").first()["term"]
+    return semantic.similar_words(vectors, word, 10, restrict_vocab=200).withColumn("cosine", F.round("cosine", 4))
 
 
-@query("semantic_search")
+@query(
+    "semantic_search",
+    f"""with {WORDS_SQL},
+    counts as (select doc_id as id, term, count(*) as tf from words group by all),
+    lengths as (select id, sum(tf)::double as len from counts group by id),
+    totals as (select count(*)::double as n, avg(len) as mean from lengths),
+    raw as (select term, ln((select n from totals) - count(*) + 0.5) - ln(count(*) + 0.5) as r from counts group by term),
+    idf as (select term, case when r < 0 then 0.25 * (select avg(r) from raw) else r end as idf from raw),
+    weighted as (
+      select id, term, tf, idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / (select mean from totals))) as w
+      from counts join idf using (term) join lengths using (id)),
+    docs as (select id, place, sum(tf * w * x) as x from weighted join vectors using (term) group by all),
+    asked as (
+      select item_id, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) as term from benchmark),
+    qs as (select item_id, place, sum(x) as x from asked join vectors using (term) group by all),
+    cosines as (
+      select item_id, id, dot / (a.norm * b.norm) as c from (
+        select item_id, id, sum(q.x * d.x) as dot from qs q join docs d using (place) group by all)
+      join (select item_id, sqrt(sum(x * x)) as norm from qs group by item_id) a using (item_id)
+      join (select id, sqrt(sum(x * x)) as norm from docs group by id) b using (id) where a.norm > 0 and b.norm > 0)
+    select item_id, id, round(c, 4) as cosine, (row_number() over (partition by item_id order by round(c, 6) desc, id))::int as rank
+    from cosines qualify row_number() over (partition by item_id order by round(c, 6) desc, id) <= 5""",
+)
 def semantic_search(spark, folder):
-    """The five documents nearest to the text of the first benchmark item."""
-    vectors = durable(semantic.word_vectors(_word_model(spark, folder)), "word-vectors")
-    docs = semantic.document_vectors(documents(spark, folder), "doc_id", "text", vectors)
-    text = table(spark, folder, "benchmark").orderBy("item_id").first()["text"]
-    return semantic.cosine_top_k(docs, "id", "vector", semantic.query_vector(vectors, text) or [0.0], 5)
+    """The five documents nearest to each benchmark text."""
+    vectors = _word_vectors(spark, folder)
+    docs = durable(semantic.document_vectors(documents(spark, folder), "doc_id", "text", vectors.drop("n")), "document-vectors")
+    asked = semantic.query_vectors(table(spark, folder, "benchmark"), "item_id", "text", vectors)
+    found = semantic.cosine_top_k_many(docs, "id", "vector", asked, "item_id", "vector", 5)
+    return found.withColumn("cosine", F.round("cosine", 4))
 
 
 GAUSS_SQL = """
@@ -103,7 +164,26 @@ def _gaussian(spark, folder):
     rows = table(spark, folder, "embeddings")
     features = F.col("embedding").cast("array<double>")
     model = classify.gaussian_model(rows, "label", features)
-    return classify.predict(model, rows, "vec_id", features, ["label"])
+    return classify.gaussian_predict(model, rows, "vec_id", features, ["label"])
+
+
+@query(
+    "gaussian_nb_codes",
+    """
+    with x as (select p_partkey, p_type || ' ' || p_size as label, p_retailprice as v, 0 as pos from part
+               union all select p_partkey, p_type || ' ' || p_size, p_size, 1 from part),
+    eps as (select max(s) * 1e-9 as e from (select var_pop(v) as s from x group by pos)),
+    c as (select label, pos, avg(v) as mu, var_pop(v) + (select e from eps) as s2 from x group by all),
+    prior as (select label, ln(count(*) / (select count(*) from part)) as p from x where pos = 0 group by label),
+    score as (select x.p_partkey, c.label, sum(-0.5 * ln(2 * pi() * s2) - (v - mu) * (v - mu) / (2 * s2)) as s from x join c using (pos) group by all)
+    select p_partkey, label as predicted from score join prior using (label)
+    qualify row_number() over (partition by p_partkey order by round(s + p, 6) desc, label) = 1""",
+)
+def gaussian_nb_codes(spark, folder):
+    """A label with hundreds of values, most of them rare, as stock codes are."""
+    part = table(spark, folder, "part").withColumn("label", F.concat_ws(" ", "p_type", "p_size"))
+    features = F.array(F.col("p_retailprice"), F.col("p_size").cast("double"))
+    return classify.gaussian_predict(classify.gaussian_model(part, "label", features), part, "p_partkey", features)
 
 
 @query("gaussian_nb", f"with {GAUSS_SQL} select vec_id, label, predicted from best join embeddings using (vec_id)")

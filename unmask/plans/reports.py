@@ -33,7 +33,7 @@ def latest_matches(matches: DataFrame, by_date: bool = False) -> DataFrame:
         out = matches.filter(F.to_date("updated") == F.to_date(F.lit(newest)))
     else:
         out = matches.filter(F.col("updated") == F.lit(newest))
-    return out.select("stockcode_x", "stockcode_y", F.col("description").alias("solved_description"))
+    return out.select("stockcode_x", "stockcode_y", F.col("description").alias("solved_description")).distinct()
 
 
 def _active(rows: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,9 +88,5 @@ def read_run(spark: SparkSession, path: str, day: Column) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("run_date") == day)
 
 
-def load_word_vectors(path: str) -> Word2VecModel:
-    return Word2VecModel.load(path)
-
-
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
