@@ -47,6 +47,12 @@ def _once(value: Column, build) -> Column:
     return F.flatten(F.transform(F.array(value), build))
 
 
+def joined_texts(*columns: str) -> Column:
+    """Searchable text of a row: its texts in order, one blank between, missing and blank ones left out."""
+    texts = [F.when(F.trim(F.col(c).cast("string")) != "", F.col(c).cast("string")) for c in columns]
+    return F.concat_ws(" ", *texts)
+
+
 def char_ngrams(text: Column, n: int = 3) -> Column:
     """Array of the character n-grams of a text, repeats kept; empty for short texts."""
     return _once(

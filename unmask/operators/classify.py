@@ -82,12 +82,12 @@ def _indexed(df: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
     return model.transform(text), model.labels
 
 
-def forest_model(train: DataFrame, label: str, features: Column, trees: int = 20, depth: int = 6) -> PipelineModel:
+def forest_model(train: DataFrame, label: str, features: Column, trees: int = 20, depth: int = 6, bins: int = 32) -> PipelineModel:
     """Tree ensemble for several classes; the label is an attribute with few values, as trees hold counts of all."""
     indexed, labels = _indexed(train, label)
     indexed = indexed.withColumn("_x", array_to_vector(features))
     forest = RandomForestClassifier(
-        featuresCol="_x", labelCol="_y", predictionCol="_p", numTrees=trees, maxDepth=depth, seed=SPLIT_SEED
+        featuresCol="_x", labelCol="_y", predictionCol="_p", numTrees=trees, maxDepth=depth, maxBins=bins, seed=SPLIT_SEED
     )
     return PipelineModel([forest.fit(indexed), IndexToString(inputCol="_p", outputCol="predicted", labels=labels)])
 

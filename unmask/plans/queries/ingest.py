@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,7 @@ from unmask.operators import exact
 from unmask.plans.queries.registry import query
 from unmask.plans.queries.snapshots import SNAPSHOT_SQL
 from unmask.plans.standins import documents, event_snapshot, literal_details, parsed_payload, part_payload, table
-from unmask.operators.snapshots import latest_load_value
+from unmask.operators.snapshots import align, latest_load_value
 from unmask.session import durable, scratch_path
 from unmask.sources import flatten, readers, writers
 from unmask.sources import schema as sch
@@ -164,6 +166,94 @@ def latest_run_partition(spark, folder):
     return readers.read_run(spark, path, day).select("stockcode", "varietal", "run_date")
 
 
+@query(
+    "payload_folder",
+    "select p_partkey::varchar as stockcode, p_size::bigint as stock_on_hand, p_type = 'PROMO' as masked, p_partkey % 10 = 0 and contains(p_name, 'widget') as coded from part",
+)
+def payload_folder(spark, folder):
+    """A folder of payload files read at once; masked by description in any case, or by stock code."""
+    path = scratch_path(spark, "payloads")
+    part_payload(spark, folder).repartition(3, "value").write.text(path)
+    rows = flatten.products(readers.read_payload(spark, path))
+    is_coded = (F.col("Stockcode").cast("long") % 10 == 0) & sc.contains_text(F.col("Description"), "widget")
+    code = F.when(is_coded, F.concat(F.lit(sc.MASKED_CODE), "Stockcode")).otherwise(F.col("Stockcode"))
+    return rows.select(
+        F.col("Stockcode").alias("stockcode"), F.col("StockOnHand").alias("stock_on_hand"),
+        sc.is_masked(F.upper("Description"), rule="description_any_case").alias("masked"),
+        sc.is_masked(F.col("Description"), code, rule="code").alias("coded"),
+    )
+
+
+@query("sitemap_products", "select url from pages where contains(url, '/en/')")
+def sitemap_products(spark, folder):
+    """Product links of a sitemap, several to a line."""
+    path = scratch_path(spark, "sitemap")
+    entry = F.concat(F.lit("<url><loc>"), "url", F.lit("</loc></url><url><loc>https://shop.example/about</loc></url>"))
+    table(spark, folder, "pages").select(entry.alias("value")).write.text(path)
+    return readers.read_sitemap(spark, path, "/en/")
+
+
+@query(
+    "replaced_run",
+    """select p_partkey, p_size, '2024-05-01' as run_date from part
+       union all select p_partkey, p_size + 1, '2024-05-02' from part where p_size > 10""",
+)
+def replaced_run(spark, folder):
+    """Two runs, the later one written again with other rows: it replaces itself and nothing else."""
+    path = scratch_path(spark, "runs")
+    part = table(spark, folder, "part").select("p_partkey", "p_size")
+    later = part.withColumn("run_date", F.to_date(F.lit("2024-05-02")))
+    writers.replace_run(part.withColumn("run_date", F.to_date(F.lit("2024-05-01"))), path)
+    writers.replace_run(later, path)
+    writers.replace_run(later.filter("p_size > 10").withColumn("p_size", F.col("p_size") + 1), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "clean_identifiers",
+    """select p_partkey as part_key_, p_size as size__10, p_brand as brand from part""",
+)
+def clean_identifiers(spark, folder):
+    """Columns renamed so that no bracket or less-than sign is left."""
+    rows = table(spark, folder, "part").selectExpr("p_partkey as `part[key]`", "p_size as `size<[10`", "p_brand as brand")
+    return rows.toDF(*[sc.clean_identifier(c) for c in rows.columns])
+
+
+@query(
+    "ingest_products",
+    """
+    select p_partkey::varchar as stockcode, p_type as varietal, p_brand as webbrandname, cast(null as varchar) as webwinebody,
+           cast(null as boolean) as is_new, p_type = 'PROMO' as mystery, '2024-05-01 04:00:00' as load_ts, '2024-05-01' as run_date
+    from part where not contains(p_partkey::varchar, '672366')""",
+)
+def ingest_products(spark, folder):
+    """Landed payload files as a stream: flattened, stamped, aligned to the wide table and appended once."""
+    landed = scratch_path(spark, "landed")
+    part_payload(spark, folder).repartition(2, "value").write.text(landed)
+    stream = ingest.landed_files(spark, landed, sch.PAYLOAD, "json", files_per_batch=1)
+
+    def load(batch):
+        rows = flatten.products(batch.withColumn("line", F.lit(0)), ["line"])
+        wide = flatten.stamp(flatten.flatten_products(rows, ["line"]), datetime(2024, 5, 1, 4))
+        return align(wide, sch.snapshot_schema())
+
+    target, checkpoint = scratch_path(spark, "wide"), scratch_path(spark, "wide-checkpoint")
+    ingest.load_new_files(stream, target, checkpoint, load)
+    return spark.read.parquet(target).select(
+        "stockcode", "varietal", "webbrandname", "webwinebody", "is_new", "mystery", "load_ts", "run_date"
+    )
+
+
+@query("first_seen_stream", "select distinct user_id from events where user_id not in (select s_suppkey from supplier)")
+def first_seen_stream(spark, folder):
+    """Keys of a landed stream that the history does not know."""
+    history = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("user_id"))
+    stream = ingest.landed_files(spark, f"{folder}/event[s].parquet", table(spark, folder, "events").schema, "parquet")
+    target, checkpoint = scratch_path(spark, "first-seen"), scratch_path(spark, "first-seen-checkpoint")
+    ingest.load_new_files(stream, target, checkpoint, lambda b: ingest.first_seen_in_batch(b, history, "user_id"))
+    return spark.read.parquet(target).select("user_id")
+
+
 @query("incremental_ingest", "select event_id, user_id, event_type, value from events")
 def incremental_ingest(spark, folder):
     """The landed event file as a stream, loaded once into a table and read back."""

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from unmask.operators import classify, profile, semantic
 from unmask.plans.queries.registry import query
 from unmask.plans.standins import documents, table
-from unmask.session import durable
+from unmask.session import durable, scratch_path
+from unmask.sources import readers, writers
 
 
 @query(
@@ -241,10 +242,17 @@ def ordinal_codes(spark, folder):
     return classify.ordinal_codes(table(spark, folder, "part"), "p_brand")
 
 
-@query("tree_classifier")
+@query(
+    "tree_classifier",
+    """select p_partkey, case when p_size <= 15 then 'small' when p_size <= 35 then 'middle' else 'large' end as size_class,
+              case when p_size <= 15 then 'small' when p_size <= 35 then 'middle' else 'large' end as predicted from part""",
+)
 def tree_classifier(spark, folder):
-    """Trained on one side of the split; every vector gets a prediction."""
-    rows = classify.split_by_key(table(spark, folder, "embeddings"), "vec_id")
-    features = F.col("embedding").cast("array<double>")
-    model = classify.forest_model(rows.filter("split = 'train'"), "label", features)
-    return classify.predict(model, rows, "vec_id", features, ["label", "split"])
+    """A class that one column decides, learned by a tree with a bin for each value; saved and loaded before use."""
+    size = F.col("p_size")
+    label = F.when(size <= 15, "small").when(size <= 35, "middle").otherwise("large")
+    part = table(spark, folder, "part").withColumn("size_class", label)
+    features = F.array(size.cast("double"))
+    path = scratch_path(spark, "model")
+    writers.save_model(classify.forest_model(part, "size_class", features, trees=1, bins=64), path)
+    return classify.predict(readers.load_model(path), part, "p_partkey", features, ["size_class"])

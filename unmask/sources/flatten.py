@@ -146,6 +146,7 @@ def flatten_products(
         *(categories(F.col("Categories")) if "Categories" in have else []),
         *(reviews(F.col("Reviews")) if "Reviews" in have else []),
         *prices,
+        *([F.to_json("Inventory").alias("inventory")] if "Inventory" in have else []),
         *nested,
         *[F.col("_attributes")[a].alias(sch.flat_name(a)) for a in names],
         sc.is_masked(F.col("Description"), F.col("Stockcode"), mystery_rule).alias("mystery"),

@@ -21,12 +21,14 @@ REVIEW_FIELDS = {
 }
 REVIEWS_KEPT = 2
 
-# Top-level text, flag and count fields kept from a product.
+# Top-level text, flag and count fields kept from a product; lists and records as JSON text.
 TEXT_FIELDS = ["Stockcode", "Description", "RichDescription", "PackageSize", "UrlFriendlyName", "Unit", "Source",
-               "ParentStockCode", "BackorderMessage", "SmallImageFile", "MediumImageFile", "LargeImageFile"]
+               "ParentStockCode", "BackorderMessage", "SmallImageFile", "MediumImageFile", "LargeImageFile",
+               "DeliveryOptionsInfo", "ProductsInSameOffer", "RecommendedProducts", "SavedLists"]
 FLAG_FIELDS = ["AgeRestricted", "IsComingSoon", "IsDeliveryOnly", "IsEdrSpecial", "IsFeaturedTag",
                "IsFindMeAvailable", "IsForCollection", "IsForDelivery", "IsInDefaultList", "IsInTrolley",
-               "IsInWishList", "IsMemberSpecial", "IsNew", "IsOnSpecial", "IsPreSale", "IsPurchasable"]
+               "IsInWishList", "IsMemberSpecial", "IsNew", "IsOnSpecial", "IsPreSale", "IsPurchasable",
+               "ShouldShowFindMeCta"]
 COUNT_FIELDS = ["StockOnHand", "BackorderStockOnHand", "DisplayQuantity", "MinimumQuantity", "NumberOfReviews",
                 "QuantityInTrolley", "SupplyLimit"]
 NUMBER_FIELDS = ["OverallRating"]
@@ -122,6 +124,7 @@ def snapshot_schema(attributes: list[str] | None = None) -> T.StructType:
     fields += [(c, text) for c in review_columns()]
     for kind in PRICE_KINDS:
         fields += [(flat_name("price", kind, f.name), f.dataType) for f in price_type().fields]
+    fields += [("inventory", text)]
     fields += [(flat_name("inventory", f.name), f.dataType) for f in inventory_type().fields]
     fields += [(flat_name("pickup", f), text) for f in PICKUP_FIELDS]
     fields += [(flat_name(a), text) for a in (ATTRIBUTES if attributes is None else attributes)]
