@@ -79,12 +79,12 @@ def fuzzy_pairs(
     left_sigs = rarest(lefts, "left_name", longest_right)
     right_sigs = durable(rarest(rights, "right_name", longest_left), "right-signatures")
     counts = right_sigs.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    salted = salted_keys(counts, "gram", "n", right_sigs.count(), rows_per_salt)
+    salted = salted_keys(counts, "gram", "n", rows_per_salt)
     a, b = F.col("left_name"), F.col("right_name")
     allowed = F.floor(F.lit(share) * F.greatest(F.length(a), F.length(b)) + 1e-9).cast("int")
     edits = F.call_function("levenshtein", a, b, allowed)
     near = (F.abs(F.length(a) - F.length(b)) <= allowed) & (edits >= 0)
-    pairs = salted_join(left_sigs, right_sigs, "gram", salted, "right_name", near)
+    pairs = salted_join(left_sigs, right_sigs, "gram", salted, "right_name", near, rows_per_salt)
     return pairs.select("left_name", "right_name").distinct().withColumn("score", score(F.levenshtein(a, b), a, b))
 
 
