@@ -16,7 +16,7 @@ def test_unit_vectors_and_vocabulary(spark):
     assert {r["id"] for r in lengths} == {1, 2} and all(abs(r["s"] - 1) < 1e-9 for r in lengths)
     counts = weights.term_counts(df, "id", tx.words_of_two(F.col("text")))
     kept = {r["term"] for r in weights.limit_vocabulary(counts, 3).collect()}
-    assert kept == {"red", "wine"}
+    assert kept == {"red", "wine", "dry"}
     assert weights.limit_vocabulary(counts, 4).select("term").distinct().count() == 4
 
 
