@@ -27,7 +27,7 @@ from unmask.llm.tokens import Store
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEATED_PERCENT = 30
-STORE = 300_000
+STORE = 500_000
 # Entropy is set against that of so many different tokens, or of as many as there are if fewer.
 ENTROPY_TOKENS = 256
 _SYMBOLS = "#*$%&|<>"
@@ -143,6 +143,10 @@ def repeated_words(words: list) -> int:
         pairs = names[:-width] * (int(names.max()) + 1) + names[width:]
         names = np.unique(pairs, return_inverse=True)[1]
         width *= 2
+        # A window found again begins with shorter ones found again; most texts have none.
+        again = np.bincount(names)[names] > 1
+        if not _long_run(again, WINDOW + 1 - width):
+            return 0
     again = np.bincount(names)[names] > 1
     edges = np.zeros(len(words) + 1, dtype=np.int64)
     edges[:n] += again
@@ -150,6 +154,12 @@ def repeated_words(words: list) -> int:
     return int((np.cumsum(edges)[: len(words)] > 0).sum())
 
 
+def _long_run(flags: np.ndarray, n: int) -> bool:
+    """Are ``n`` flags in a row set?"""
+    ends = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+    return bool(len(ends)) and int((ends[1::2] - ends[::2]).max()) >= n
+
+
 def duplicate_lines(text: str) -> int:
     """Lines with a word that equal an earlier line."""
     seen, n = set(), 0
