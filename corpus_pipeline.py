@@ -87,8 +87,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("taken", F.filter("parts", lambda p: p["times"] >= F.col("copy")))
     rows = rows.withColumn("n", F.aggregate("taken", F.lit(0).cast("long"), lambda n, p: n + p["n_words"]))
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.transform("taken", lambda p: F.slice(words, (p["word_from"] + 1).cast("int"), p["n_words"].cast("int")))
-    cut = F.regexp_replace(F.array_join(F.flatten(cut), ""), r"^[\x20\x09-\x0D]+", "")
+    # The words are bound to a variable, as an expression would be evaluated for every stretch.
+    stretch = lambda ws: F.flatten(F.transform("taken", lambda p: F.slice(ws, (p["word_from"] + 1).cast("int"), p["n_words"].cast("int"))))
+    cut = F.flatten(F.transform(F.array(words), stretch))
+    cut = F.regexp_replace(F.array_join(cut, ""), r"^[\x20\x09-\x0D]+", "")
     rows = rows.withColumn("cut", F.when(F.col("n") == F.col("size"), F.col("text")).otherwise(cut))
     return with_text(rows, docs.columns, "cut")
 

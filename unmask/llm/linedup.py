@@ -20,7 +20,7 @@ min_words lines at most, so there are log2(min_words) levels at any size of corp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -119,12 +119,20 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
         cuts = durable(cuts, "cuts")
     joined = rows.join(cuts.select(F.col("uid").alias(uid), F.col("cuts").alias(cuts_name)), uid, "left")
     lines, cuts_of = F.split(quoted("text"), "\n", -1), quoted(cuts_name)
-    at = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), i)), lambda i: i.isNotNull())
-    # Cut stretches as line numbers from 0, both ends inside; then the stretches between them.
-    gone = F.transform(cuts_of, lambda c: F.struct(F.get(at, c["first"]).alias("a"), F.get(at, c["last"]).alias("b")))
-    starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g["b"] + 1))
-    stops = F.concat(F.transform(gone, lambda g: g["a"]), F.array(F.size(lines)))
-    kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice(lines, a + 1, b - a)))
+
+    def full(ls: Column) -> Column:
+        """Numbers of the lines that hold a word."""
+        numbers = F.transform(ls, lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), i))
+        return F.filter(numbers, lambda i: i.isNotNull())
+
+    def between(ls: Column, at: Column) -> Column:
+        """Lines outside of the cuts; both ends of a cut are inside it."""
+        starts = F.concat(F.array(F.lit(0)), F.transform(cuts_of, lambda c: F.get(at, c["last"]) + 1))
+        stops = F.concat(F.transform(cuts_of, lambda c: F.get(at, c["first"])), F.array(F.size(ls)))
+        return F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice(ls, a + 1, b - a)))
+
+    # Lines and their numbers are bound to variables, as expressions would be evaluated for every cut.
+    kept = F.flatten(F.transform(F.array(lines), lambda ls: F.flatten(F.transform(F.array(full(ls)), lambda at: between(ls, at)))))
     before, after = fresh(joined, "_before"), fresh(joined, "_after")
     done = joined.withColumn(before, F.when(quoted("text").isNull(), 0).otherwise(F.size(lines)))
     done = done.withColumn(after, F.when(cuts_of.isNotNull(), kept))
