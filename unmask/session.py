@@ -54,6 +54,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def scratch_made() -> list[str]:
+    """Scratch paths of this process that were not removed yet."""
+    return list(_made)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch path, on whatever file system it lies."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
