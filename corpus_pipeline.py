@@ -1,11 +1,13 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns is written as Parquet
-and read again as the next stage's docs. All but the last keep the columns of documents.
+and read again as the next stage's docs, and then the stage's scratch tables go. All but the last keep
+the columns of documents.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -15,42 +17,65 @@ from pyspark.sql import functions as F
 from unmask.llm import fertility, golay, linedup, mixing, packing
 from unmask.llm.common import WORD, quoted, table, word_count
 from unmask.llm.queries import fertility_files
-from unmask.session import durable
+from unmask.session import durable, remove, scratch_made
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ROW = "_row"
 
 
-def whole_rows(docs: DataFrame) -> Column:
-    """All columns in one, so that no operator's columns can clash with them."""
-    return F.struct(*(quoted(c) for c in docs.columns)).alias(ROW)
+_spent: list[str] = []
 
 
-def with_text(rows: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """The rows' columns again, with another text and its length in n_chars."""
-    new = {"text": quoted(text), "n_chars": F.char_length(quoted(text)).cast("long")}
+def stage(fn: Stage) -> Stage:
+    """A stage that first removes the scratch tables of the stage before, whose result is written by now."""
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _spent:
+            remove(spark, path)
+        before = set(scratch_made())
+        out = fn(spark, docs, sf_dir)
+        _spent[:] = [path for path in scratch_made() if path not in before]
+        return out
+
+    return run_stage
+
+
+def other_columns(docs: DataFrame) -> Column:
+    """All columns but the text in one, so that no operator's columns can clash with them."""
+    return F.struct(*(quoted(c) for c in docs.columns if c != "text")).alias(ROW)
+
+
+def with_text(rows: DataFrame, columns: list[str], text: str, changed: bool = True) -> DataFrame:
+    """The rows' columns again, with the text and, if it has changed, its length in n_chars."""
+    new = {"text": quoted(text)}
+    if changed:
+        new["n_chars"] = F.char_length(quoted(text)).cast("long")
     return rows.select(*(new.get(c, F.col(f"{ROW}.`{c.replace('`', '``')}`")).alias(c) for c in columns))
 
 
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the tokenizer-fertility bands of their language.
 
     A null text fails. Columns named as a measure are kept as they came in.
     """
-    judged = fertility.quality(docs.select(whole_rows(docs), "text", "lang"), *fertility_files())
-    return judged.filter("kept").select(f"{ROW}.*")
+    judged = fertility.quality(docs.select(other_columns(docs), "text", "lang"), *fertility_files())
+    return with_text(judged.filter("kept"), docs.columns, "text", changed=False)
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs; those that lose their last word go.
 
     A null text stays null, and the first copy of a run stays where it is.
     """
-    out = linedup.drop_repeated_runs(docs.select(whole_rows(docs), "doc_id", "text"))
+    out = linedup.drop_repeated_runs(docs.select(other_columns(docs), "doc_id", "text"))
     out = out.filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
     return with_text(out, docs.columns, "text")
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
@@ -69,6 +94,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(one)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes their words, at most three times.
 
@@ -77,7 +103,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     go. A null source is a source of its own.
     """
     size = word_count(F.col("text")).alias("size")
-    mixed = mixing.mix(docs.select(whole_rows(docs), "doc_id", "source", "text", size))
+    mixed = mixing.mix(docs.select(other_columns(docs), "doc_id", "source", "text", size))
     part = F.struct("word_from", "n_words", "times")
     parts = mixed.pieces.groupBy("uid", "word_from", "n_words").agg(F.count("*").cast("int").alias("times"))
     parts = parts.groupBy(F.col("uid").alias("parts_uid")).agg(F.sort_array(F.collect_list(part)).alias("parts"))
@@ -95,6 +121,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return with_text(rows, docs.columns, "cut")
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids with their places in sequences of at most 4096 tokens."""
     packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))

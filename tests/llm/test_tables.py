@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from unmask.llm import crosspolytope, linedup, mixing, packing, wrapper
 from unmask.llm.common import word_count
+from unmask.session import durable
 
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -349,7 +350,7 @@ def test_stages_keep_columns_and_take_effect(spark, messy, messy_rows, tmp_path)
         *((20 + i, prose(90), "en", "ab"[i % 2], 1, "k") for i in range(20)),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string")
-    stages = dict(corpus_pipeline.STAGES)
+    stages = {n: (lambda *a, f=f: durable(f(*a), "stage")) for n, f in corpus_pipeline.STAGES}
     assert list(stages) == ["quality_rules", "line_dedup", "near_duplicates", "mix_sources", "pack_sequences"]
     kept = stages["quality_rules"](spark, docs, "")
     assert kept.schema == docs.schema
