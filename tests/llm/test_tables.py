@@ -303,6 +303,17 @@ def test_templates_are_learned_by_host(spark):
     assert wrapper.main_texts(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("stub", ["<html><body></body></html>", "<html><body><p>Moved</p></body></html>"])
+def test_a_stub_changes_no_template(spark, stub):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("red green blue white black grey brown pink".split()) for _ in range(20 + i % 9)) for i in range(60)]
+    rows = [page("a.example", i, f"<div class='x1'>Join our club</div><div class='x2'><p>{t}</p></div><div>All about us</div>") for i, t in enumerate(texts)]
+    rows.append((60, "https://a.example/gone", stub, "x"))
+    out = wrapper.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()
+    by = {r.page_id: r.text for r in out}
+    assert [by[i] for i in range(60)] == texts
+
+
 def test_boilerplate_elements_go():
     text = wrapper.extract(
         "<body class='has-sidebar'><header><h1>Site</h1></header><div id='cookie-notice'>We use cookies</div>"

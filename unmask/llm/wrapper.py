@@ -1,6 +1,6 @@
 """Main text of web pages by wrapper induction.
 
-For every host with three pages or more, its shortest complete page is the reference, and every other
+For every host with three pages or more, a complete page of median length is the reference, and every other
 page of the host is aligned with it by simple tree matching: two nodes match if their tag and classes
 agree, their children are paired in order so that most nodes match, and equal text breaks ties. All
 pages of the host together then say which reference nodes hold the same text nearly everywhere. Those
@@ -10,7 +10,8 @@ forms, scripts or comments by their tag, role or class are left out on every pag
 
 Scale: pages are never gathered by host. A reference is a few bytes for each node; the references of all
 hosts are broadcast if they are measured to be small and joined otherwise. Counts are added up in the
-task before they are shuffled. A page is aligned against the shortest page, so cost follows its size.
+task before they are shuffled. The reference is of median length, and stubs are none, so a few odd pages
+change no template; texts and digests of a node are taken once, however often it is compared.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from unmask.llm.common import url_host
@@ -38,6 +40,9 @@ INSIDE = (0.9, 8)
 BROADCAST_BYTES = 32 << 20
 MAX_DEPTH = 200
 
+# Opening tags of blocks, as far as they tell a stub from a page.
+_OPENS = r"(?i)<(?:p|div|li|h[1-6]|td|th|dd|dt|pre|blockquote|section|article|main|nav|header|footer|aside|table|ul|ol|form)[\s/>]"
+
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
@@ -81,10 +86,13 @@ _PARTS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "kids", "kind", "number")
+    __slots__ = ("tag", "label", "kids", "kind", "text", "digest")
 
     def __init__(self, tag: str, label: str = "", kind: str = ""):
-        self.tag, self.label, self.kind, self.kids, self.number = tag, label or tag, kind, [], -1
+        self.tag, self.label, self.kind, self.kids = tag, label or tag, kind, []
+        # Own text and its digest, filled in when first asked for.
+        self.text: str | None = None
+        self.digest = 0
 
 
 @functools.lru_cache(maxsize=50_000)
@@ -158,7 +166,9 @@ def parse(page: str) -> Node:
 
 
 def own_text(node: Node) -> str:
-    """Text directly inside a node or in its inline parts, white space made single."""
+    """Text directly inside a node or in its inline parts, white space made single. The tree is complete by then."""
+    if node.text is not None:
+        return node.text
     out = []
 
     def walk(n: Node) -> None:
@@ -169,7 +179,14 @@ def own_text(node: Node) -> str:
                 walk(k)
 
     walk(node)
-    return " ".join("".join(out).split())
+    node.text = " ".join("".join(out).split())
+    node.digest = _digest(node.text)
+    return node.text
+
+
+def own_digest(node: Node) -> int:
+    own_text(node)
+    return node.digest
 
 
 def _blocks(node: Node) -> list[Node]:
@@ -194,7 +211,7 @@ def skeleton(page: str) -> str:
     """A reference page as JSON: [digest of its longest block, [label, digest of own text, children]]."""
 
     def of(n: Node) -> list:
-        return [n.label, _digest(own_text(n)), [of(k) for k in _blocks(n)]]
+        return [n.label, own_digest(n), [of(k) for k in _blocks(n)]]
 
     root = parse(page)
     return json.dumps([_longest(root), of(root)], separators=(",", ":"))
@@ -228,7 +245,7 @@ class Reference:
             if key in scores:
                 return scores[key][0]
             own, theirs = _blocks(node), self.kids[ref]
-            same = self.digests[ref] and self.digests[ref] == _digest(own_text(node))
+            same = self.digests[ref] and self.digests[ref] == own_digest(node)
             table = [[0.0] * (len(theirs) + 1)]
             for a in own:
                 above, row = table[-1], [0.0]
@@ -269,7 +286,7 @@ def evidence(page: str, ref: Reference) -> list[tuple[int, bool]]:
     root = parse(page)
     if _longest(root) == ref.longest:
         return []
-    return [(r, ref.digests[r] == _digest(own_text(n))) for n, r in ref.align(root) if ref.digests[r]]
+    return [(r, ref.digests[r] == own_digest(n)) for n, r in ref.align(root) if ref.digests[r]]
 
 
 def _has(node: Node, tags: set[str]) -> bool:
@@ -327,7 +344,7 @@ def extract(page: str, ref: Reference | None = None, template: dict[int, tuple[f
     if ref and template:
         share, pages = INSIDE if inside else OUTSIDE
         for node, r in ref.align(root):
-            if r in template and template[r][0] >= share and template[r][1] >= pages and ref.digests[r] == _digest(own_text(node)):
+            if r in template and template[r][0] >= share and template[r][1] >= pages and ref.digests[r] == own_digest(node):
                 gone.add(id(node))
     blocks: list[str] = []
     line: list[str] = []
@@ -365,6 +382,29 @@ def _attach(left: DataFrame, right: DataFrame, size: int, how: str) -> DataFrame
     return left.join(F.broadcast(right) if size <= BROADCAST_BYTES else right, "host", how)
 
 
+def _poor() -> Column:
+    """0 for a page that ends in </html> and opens two blocks or more, 1 for another."""
+    whole = F.lower(F.substring(F.rtrim("html"), -7, 7)) == "</html>"
+    return F.when(whole & (F.regexp_count("html", F.lit(_OPENS)) >= 2), 0).otherwise(1)
+
+
+def typical(rows: DataFrame) -> DataFrame:
+    """(host, n, low): pages of every host, and (poor, size, ref_id) of its typical page.
+
+    That is a page of the median length, to a tenth, among the host's pages that are not poor; among all
+    only where no other is left. Lengths are counted in bands, a few hundred a host at any size.
+    """
+    size = F.length("html")
+    bands = rows.filter("host <> ''").groupBy("host", _poor().alias("poor"), F.floor(8 * F.log2(size + 1)).alias("band"))
+    bands = bands.agg(F.count("*").alias("n"), F.min(F.struct(size.alias("size"), F.col("page_id").alias("ref_id"))).alias("low"))
+    kind = W.partitionBy("host", "poor")
+    bands = bands.select(
+        "host", "poor", "low", "n", F.sum("n").over(kind).alias("total"), F.sum("n").over(kind.orderBy("band")).alias("upto")
+    )
+    low = F.struct("poor", "low.size", "low.ref_id")
+    return bands.groupBy("host").agg(F.sum("n").alias("n"), F.min(F.when(2 * F.col("upto") >= F.col("total"), low)).alias("low"))
+
+
 def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html; others are not read).
 
@@ -377,12 +417,10 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         F.coalesce(url_host(F.col("url")), F.lit("")).alias("host"),
     )
     with Scratch(pages.sparkSession, "wrappers") as scratch:
-        complete = F.when(F.lower(F.substring(F.rtrim("html"), -7, 7)) == "</html>", 0).otherwise(1)
-        rank = F.struct(complete, F.length("html"), "page_id")
-        hosts = rows.filter("host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.min(rank).alias("low"))
-        hosts = scratch.table(hosts.filter(F.col("n") >= min_pages).select("host", F.col("low.page_id").alias("ref_id")))
+        hosts = scratch.table(typical(rows).filter(F.col("n") >= min_pages).select("host", "low.*"))
         many = hosts.count()
-        first = _attach(rows, hosts, many * 100, "inner").filter(F.col("page_id").eqNullSafe(F.col("ref_id")))
+        first = _attach(rows, hosts, many * 100, "inner")
+        first = first.filter(F.col("page_id").eqNullSafe(F.col("ref_id")) & (F.length("html") == F.col("size")) & (_poor() == F.col("poor")))
 
         def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
