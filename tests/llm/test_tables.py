@@ -314,6 +314,29 @@ def test_a_stub_changes_no_template(spark, stub):
     assert [by[i] for i in range(60)] == texts
 
 
+def test_what_varies_on_a_host_outweighs_names(spark):
+    rng = random.Random(5)
+
+    def prose(n):
+        return " ".join(rng.choice("red green blue white black grey brown pink".split()) for _ in range(n))
+
+    rows, want = [], {}
+    for i in range(100):
+        # A section of the article has a listed name and varies; the fine print does not.
+        a, b, c, d = (prose(25) for _ in range(4))
+        part = ["discussion", "related", "notice", "promotion"][i % 4]
+        body = f"<article><h1>{a}</h1><p>{b}</p><section class='{part}'><p>{c}</p></section><div class='cookie'>Fine print</div><p>{d}</p></article>"
+        rows.append((i, f"https://host{i % 4}.example/{i}", page("x", i, body + f"<div class='sidebar'><p>{prose(9)}</p></div>")[2], "x"))
+        want[i] = f"{a} {b} {c} {d}"
+    for i in range(100, 120):
+        # The article is the same on all pages, and the story is outside of it.
+        a, b = prose(25), prose(20)
+        rows.append(page("story.example", i, f"<div class='story'><p>{a}</p><p>{b}</p></div><article><p>Buy one and get one</p></article>"))
+        want[i] = f"{a} {b}"
+    out = wrapper.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()
+    assert {r.page_id: r.text for r in out} == want
+
+
 def test_boilerplate_elements_go():
     text = wrapper.extract(
         "<body class='has-sidebar'><header><h1>Site</h1></header><div id='cookie-notice'>We use cookies</div>"

@@ -5,8 +5,12 @@ page of the host is aligned with it by simple tree matching: two nodes match if
 agree, their children are paired in order so that most nodes match, and equal text breaks ties. All
 pages of the host together then say which reference nodes hold the same text nearly everywhere. Those
 are the template and are left out wherever they appear; what varies is content. Pages whose longest block
-equals the reference's are copies and do not testify. Elements that are navigation, notices, adverts,
-forms, scripts or comments by their tag, role or class are left out on every page.
+equals the reference's are copies and do not testify.
+
+Where eight pages testify, the lowest container with most of the varying text is the host's region of
+content: there a node whose class or id is on the word lists stays if its text varies. Outside of it the
+lists break the tie between content and navigation that varies too. Tags, roles and advert classes hold on
+every page. Hosts with fewer pages, and pages that do not align, are read by articles and the lists.
 
 Scale: pages are never gathered by host. A reference is a few bytes for each node; the references of all
 hosts are broadcast if they are measured to be small and joined otherwise. Counts are added up in the
@@ -22,6 +26,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -37,6 +42,8 @@ MIN_PAGES = 3
 # outside an article, and inside one, where equal paragraphs may be quotations.
 OUTSIDE = (0.8, 2)
 INSIDE = (0.9, 8)
+# Share of a host's varying text that a container must hold to be where its content is.
+REGION = 0.6
 BROADCAST_BYTES = 32 << 20
 MAX_DEPTH = 200
 
@@ -64,9 +71,10 @@ _DROP_TAGS = _RAW | set(
     "head nav footer aside form button select input menu dialog object svg canvas audio video map".split()
 )
 _DROP_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-# Parts of class and id names.
+# Parts of class and id names. Adverts differ from page to page, so no alignment can tell them from content.
+_ADVERT_WORDS = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored".split())
 _DROP_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar "
+    "promo promotion banner nav navbar "
     "navigation menu menubar masthead topbar footer sidebar widget widgets cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login social share sharing breadcrumb breadcrumbs "
     "pagination pager related recommended recommendations toolbar copyright disclaimer".split()
@@ -97,7 +105,11 @@ class Node:
 
 @functools.lru_cache(maxsize=50_000)
 def _described(tag: str, attributes: str) -> tuple[str, str]:
-    """(label, kind): tag with classes, and whether it is to be dropped ('drop', 'comment' or '')."""
+    """(label, kind): tag with classes, and what names it as no content.
+
+    The kind is 'drop' by tag, role, hidden attribute or an advert's class, which always hold, or a class or
+    id that is only a hint: 'named', or 'comment'. '' is none of these.
+    """
     found = {k.lower(): (v or "").strip("\"'") for k, v in _NAMES.findall(attributes)}
     label = f"{tag}.{found['class']}" if "class" in found else tag
     if tag in _DROP_TAGS or "hidden" in found and tag not in ("html", "body"):
@@ -108,10 +120,13 @@ def _described(tag: str, attributes: str) -> tuple[str, str]:
     for name in f"{found.get('class', '')} {found.get('id', '')}".split():
         if not name.lower().startswith(_STATE):
             words.update(w.lower() for w in _PARTS.findall(name))
+    whole = tag in ("html", "body", "article", "main")
     if words & _COMMENT_WORDS and tag not in ("html", "body", "main"):
         return label, "comment"
-    if tag not in ("html", "body", "article", "main") and (words & _DROP_WORDS or {"site", "header"} <= words or {"page", "header"} <= words):
+    if words & _ADVERT_WORDS and not whole:
         return label, "drop"
+    if not whole and (words & _DROP_WORDS or {"site", "header"} <= words or {"page", "header"} <= words):
+        return label, "named"
     return label, ""
 
 
@@ -238,24 +253,39 @@ class Reference:
         """Pairs (page node, reference node) of a best match."""
         pairs: list[tuple[Node, int]] = []
         scores: dict[tuple[int, int], tuple] = {}
+        labels, digests, kids = self.labels, self.digests, self.kids
+        seen: dict[int, tuple[list[Node], int]] = {}
+
+        def about(node: Node) -> tuple[list[Node], int]:
+            if id(node) not in seen:
+                seen[id(node)] = _blocks(node), own_digest(node)
+            return seen[id(node)]
 
         def match(node: Node, ref: int) -> float:
             """Matched nodes below and at two nodes of one label, and a little for equal texts."""
             key = (id(node), ref)
             if key in scores:
                 return scores[key][0]
-            own, theirs = _blocks(node), self.kids[ref]
-            same = self.digests[ref] and self.digests[ref] == own_digest(node)
-            table = [[0.0] * (len(theirs) + 1)]
+            own, digest = about(node)
+            theirs = [(j, b, labels[b], digests[b], kids[b]) for j, b in enumerate(kids[ref])]
+            above = [0.0] * (len(theirs) + 1)
+            table = [above]
             for a in own:
-                above, row = table[-1], [0.0]
-                for j, b in enumerate(theirs):
-                    best = max(above[j + 1], row[j])
-                    if a.label == self.labels[b]:
-                        best = max(best, above[j] + match(a, b))
-                    row.append(best)
+                label, (below, text) = a.label, about(a)
+                row, last = [0.0], 0.0
+                for j, b, other, same, more in theirs:
+                    if above[j + 1] > last:
+                        last = above[j + 1]
+                    if label == other:
+                        # Two nodes without a pair of children need no table.
+                        both = above[j] + (match(a, b) if below and more else 1.5 if same and same == text else 1.0)
+                        if both > last:
+                            last = both
+                    row.append(last)
                 table.append(row)
-            scores[key] = (1.0 + 0.5 * bool(same) + table[-1][-1], table, own)
+                above = row
+            same = digests[ref] and digests[ref] == digest
+            scores[key] = (1.0 + 0.5 * bool(same) + above[-1], table, own)
             return scores[key][0]
 
         match(root, 0)
@@ -263,8 +293,10 @@ class Reference:
         while todo:
             node, ref = todo.pop()
             pairs.append((node, ref))
+            if (id(node), ref) not in scores:
+                continue
             _, table, own = scores[id(node), ref]
-            i, j = len(own), len(self.kids[ref])
+            i, j = len(own), len(kids[ref])
             while i and j:
                 if table[i][j] == table[i - 1][j]:
                     i -= 1
@@ -272,7 +304,7 @@ class Reference:
                     j -= 1
                 else:
                     i, j = i - 1, j - 1
-                    todo.append((own[i], self.kids[ref][j]))
+                    todo.append((own[i], kids[ref][j]))
         return pairs
 
 
@@ -281,15 +313,49 @@ def reference(text: str) -> Reference:
     return Reference(text)
 
 
-def evidence(page: str, ref: Reference) -> list[tuple[int, bool]]:
-    """(reference node, same text?) for the aligned nodes with text; none from a copy."""
+def evidence(page: str, ref: Reference) -> list[tuple[int, bool, bool, int]]:
+    """(reference node, same text?, does text vary at or below it?, its varying characters) of the aligned nodes.
+
+    The characters are those that no tag, role or class names and that are in no link. None from a copy.
+    """
     root = parse(page)
     if _longest(root) == ref.longest:
         return []
-    return [(r, ref.digests[r] == own_digest(n)) for n, r in ref.align(root) if ref.digests[r]]
+    pairs = ref.align(root)
+    number = {id(n): r for n, r in pairs}
+    below: dict[int, tuple[bool, int]] = {}
+
+    def weigh(node: Node) -> tuple[bool, int]:
+        text, r = own_text(node), number.get(id(node))
+        varies = bool(text) and not (r is not None and ref.digests[r] == own_digest(node))
+        size = max(0, len(text) - _linked(node)) if varies else 0
+        for k in _blocks(node):
+            some, more = weigh(k)
+            if k.kind != "drop" or _opens(k):
+                varies |= some
+            if not k.kind or _opens(k):
+                size += more
+        below[id(node)] = varies, size
+        return varies, size
+
+    weigh(root)
+    return [(r, bool(ref.digests[r]) and ref.digests[r] == own_digest(n), *below[id(n)]) for n, r in pairs]
+
+
+def _linked(node: Node) -> int:
+    """Characters of a node's own text that are in links."""
+    size, todo = 0, [(k, k.tag == "a") for k in node.kids if isinstance(k, Node) and k.tag in _INLINE]
+    while todo:
+        n, inside = todo.pop()
+        for k in n.kids:
+            if isinstance(k, str):
+                size += len(k) if inside else 0
+            elif k.tag in _INLINE:
+                todo.append((k, inside or k.tag == "a"))
+    return size
 
 
-def _has(node: Node, tags: set[str]) -> bool:
+def _has(node: Node, tags: frozenset[str]) -> bool:
     todo = [node]
     while todo:
         n = todo.pop()
@@ -301,13 +367,18 @@ def _has(node: Node, tags: set[str]) -> bool:
     return False
 
 
-def _articles(root: Node, tags: set[str]) -> list[Node]:
+def _opens(node: Node, tags: frozenset[str] = frozenset({"article", "main"})) -> bool:
+    """Whether a node dropped by a role or name, and by no tag, holds an article all the same."""
+    return node.kind in ("drop", "named") and node.tag not in _DROP_TAGS and _has(node, tags)
+
+
+def _articles(root: Node, tags: frozenset[str]) -> list[Node]:
     """Uppermost nodes of the tags that are not inside something dropped."""
     out, todo = [], [root]
     while todo:
         n = todo.pop()
         for k in reversed(n.kids):
-            if isinstance(k, Node) and not (k.kind and not (k.kind == "drop" and k.tag not in _DROP_TAGS and _has(k, tags))):
+            if isinstance(k, Node) and (not k.kind or _opens(k, tags)):
                 if k.tag in tags:
                     out.append(k)
                 else:
@@ -331,21 +402,45 @@ def _link_share(node: Node) -> float:
     return linked / total if total else 0.0
 
 
-def extract(page: str, ref: Reference | None = None, template: dict[int, tuple[float, int]] | None = None) -> str:
-    """Main text of a page. ``template``: (share, testifying pages) of the reference's constant nodes."""
+class Told(NamedTuple):
+    """What the testifying pages say of a reference node."""
+
+    share: float  # of the pages, those with the reference's text
+    aligned: int  # pages
+    varies: int  # pages whose text varies at or below the node
+    size: int  # varying characters below it, over all pages
+
+
+@functools.lru_cache(maxsize=256)
+def told_of(template: str) -> dict[int, Told]:
+    return {e["node"]: Told(e["share"], e["aligned"], e["varies"], e["size"]) for e in json.loads(template)}
+
+
+def region(ref: Reference, template: dict[int, Told]) -> int | None:
+    """The lowest container that holds most of what varies on the host; none if too few pages testify."""
+    whole = template.get(0)
+    if whole is None or whole.aligned < INSIDE[1] or not whole.size:
+        return None
+    return max((r for r, t in template.items() if ref.kids[r] and t.size >= REGION * whole.size), default=None)
+
+
+def extract(page: str, ref: Reference | None = None, template: dict[int, Told] | None = None) -> str:
+    """Main text of a page. ``template``: what the host's pages say of the reference's nodes.
+
+    If the template shows where the host's pages vary, the whole page is read: constant nodes go, and in that
+    region a class or id that is a hint does not outweigh text that varies. Otherwise articles are read.
+    """
     root = parse(page)
-    tops = _articles(root, {"article"}) or _articles(root, {"main"})
+    number = {id(n): r for n, r in ref.align(root)} if ref and template else {}
+    at = region(ref, template) if number else None
+    area = next((id(k) for k in _all(root) if number.get(id(k)) == at), None) if at is not None else None
+    tops = _articles(root, frozenset({"article"})) or _articles(root, frozenset({"main"}))
+    teasers: set[int] = set()
     if len(tops) > 1:
         # Teasers for other pages are short and mostly links.
         real = [t for t in tops if _link_share(t) < 0.5]
+        teasers = {id(t) for t in tops if t not in real} if real else teasers
         tops = real or tops
-    inside = bool(tops)
-    gone: set[int] = set()
-    if ref and template:
-        share, pages = INSIDE if inside else OUTSIDE
-        for node, r in ref.align(root):
-            if r in template and template[r][0] >= share and template[r][1] >= pages and ref.digests[r] == own_digest(node):
-                gone.add(id(node))
     blocks: list[str] = []
     line: list[str] = []
 
@@ -355,28 +450,59 @@ def extract(page: str, ref: Reference | None = None, template: dict[int, tuple[f
         if text:
             blocks.append(text)
 
-    def walk(node: Node) -> None:
-        quiet = id(node) in gone
+    def constant(node: Node, inside: bool) -> bool:
+        r = number.get(id(node))
+        if r not in template:
+            return False
+        share, pages = INSIDE if inside else OUTSIDE
+        told = template[r]
+        return told.share >= share and told.aligned >= pages and ref.digests[r] == own_digest(node)
+
+    def varying(node: Node) -> bool:
+        """Whether the host's pages say that a named node is content; lists of links are none."""
+        told = template.get(number.get(id(node), -1))
+        return told is not None and told.aligned >= INSIDE[1] and 2 * told.varies >= told.aligned and _link_share(node) <= 0.6
+
+    def taken(k: Node, within: bool, inside: bool) -> bool:
+        if id(k) in teasers:
+            return False
+        if k.kind and not (not inside and _opens(k)) and not (within and k.kind != "drop" and varying(k)):
+            return False
+        return inside or not (k.tag == "header" or k.tag in ("ul", "ol") and _link_share(k) > 0.6)
+
+    def walk(node: Node, within: bool, inside: bool) -> None:
+        """``within``: in the region. ``inside``: there or in an article, unless the region is the whole body."""
+        within = within or id(node) == area
+        inside = inside or node.tag in ("article", "main") or id(node) == area and node.tag not in ("#root", "html", "body")
+        quiet = bool(number) and constant(node, inside)
         for k in node.kids:
             if isinstance(k, str):
                 if not quiet:
                     line.append(k)
             elif k.tag in _INLINE:
                 if not quiet and not k.kind:
-                    walk(k)
+                    walk(k, within, inside)
             else:
                 flush()
-                if not k.kind or k.kind == "drop" and k.tag not in _DROP_TAGS and not inside and _has(k, {"article", "main"}):
-                    if not (not inside and k.tag in ("ul", "ol", "header") and (k.tag == "header" or _link_share(k) > 0.6)):
-                        walk(k)
+                if taken(k, within, inside):
+                    walk(k, within, inside)
                 flush()
 
+    if area is not None:
+        tops = []
     for top in tops or [root]:
-        walk(top)
+        walk(top, False, bool(tops))
         flush()
     return " ".join(blocks)
 
 
+def _all(root: Node) -> Iterator[Node]:
+    todo = [root]
+    while todo:
+        yield (n := todo.pop())
+        todo += _blocks(n)
+
+
 def _attach(left: DataFrame, right: DataFrame, size: int, how: str) -> DataFrame:
     """Join on host; the right side is broadcast if it was measured to be small."""
     return left.join(F.broadcast(right) if size <= BROADCAST_BYTES else right, "host", how)
@@ -431,37 +557,40 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         outlines = scratch.table(outlines.groupBy("host").agg(F.min("skeleton").alias("skeleton")))
         size = outlines.agg(F.coalesce(F.sum(F.length("skeleton") + F.length("host") + 50), F.lit(0))).first()[0]
 
+        counts = ["aligned", "equal", "varies", "size"]
+
         def testify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                aligned, equal = Counter(), Counter()
+                aligned, equal, varies, size = Counter(), Counter(), Counter(), Counter()
                 for host, page, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    for node, same in evidence(page, reference(text)):
+                    for node, same, vary, chars in evidence(page, reference(text)):
                         aligned[host, node] += 1
                         equal[host, node] += same
+                        varies[host, node] += vary
+                        size[host, node] += chars
                 keys = list(aligned)
-                columns = [[h for h, _ in keys], [n for _, n in keys], [aligned[k] for k in keys], [equal[k] for k in keys]]
-                types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
+                columns = [[h for h, _ in keys], [n for _, n in keys], *([c[k] for k in keys] for c in (aligned, equal, varies, size))]
+                types = [pa.string(), pa.int32(), *[pa.int64()] * 4]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "node", "aligned", "equal"]
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "node", *counts]
                 )
 
         said = _attach(rows.select("host", "html"), outlines, size, "inner")
-        said = said.mapInArrow(testify, "host string, node int, aligned long, equal long")
-        said = said.groupBy("host", "node").agg(F.sum("aligned").alias("aligned"), F.sum("equal").alias("equal"))
-        constant = said.filter((F.col("equal") >= min(OUTSIDE[0], INSIDE[0]) * F.col("aligned")) & (F.col("aligned") >= min(OUTSIDE[1], INSIDE[1])))
-        entry = F.struct("node", (F.col("equal") / F.col("aligned")).alias("share"), "aligned")
-        constant = constant.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("template"))
-        wrappers = durable(outlines.join(constant, "host"), "wrappers")
+        said = said.mapInArrow(testify, "host string, node int, " + ", ".join(f"{c} long" for c in counts))
+        said = said.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in counts))
+        said = said.filter(F.col("aligned") >= min(OUTSIDE[1], INSIDE[1]))
+        entry = F.struct("node", (F.col("equal") / F.col("aligned")).alias("share"), "aligned", "varies", "size")
+        told = said.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("template"))
+        wrappers = durable(outlines.join(told, "host"), "wrappers")
     size = wrappers.agg(F.coalesce(F.sum(F.length("skeleton") + F.length("template") + 50), F.lit(0))).first()[0]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for page, text, template in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                nodes = {e["node"]: (e["share"], e["aligned"]) for e in json.loads(template)} if template else None
-                out.append(extract(page, reference(text) if text else None, nodes))
-            texts, counts = pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts, counts], names=["page_id", "url", "text", "n_chars"])
+                out.append(extract(page, reference(text) if text else None, told_of(template) if template else None))
+            texts, lengths = pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts, lengths], names=["page_id", "url", "text", "n_chars"])
 
     joined = _attach(rows, wrappers, size, "left").select("page_id", "url", "html", "skeleton", "template")
     return joined.mapInArrow(read, "page_id long, url string, text string, n_chars long")
