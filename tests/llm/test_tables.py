@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -207,6 +208,36 @@ def test_nearest_against_brute_force(spark, probes, least, block_rows):
             assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]], abs=1e-12)
 
 
+def test_a_tight_cluster_makes_no_larger_groups(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1_500, 16))
+    x[::3] = x[0] + 0.05 * rng.normal(size=(500, 16))
+    rows = [(i, v.tolist(), 0, "", "") for i, v in enumerate(x.astype(np.float32))]
+    score = crosspolytope.best_of_block
+
+    def bounded(queries, found, k):
+        assert len(queries) <= 100 and len(found) <= 100, (len(queries), len(found))
+        return score(queries, found, k)
+
+    monkeypatch.setattr(crosspolytope, "best_of_block", bounded)
+    out = crosspolytope.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 5 == 0, 5, tables=2, probes=32, block_rows=50).collect()
+    got = {(r.query_id, r["rank"]): r.score for r in out}
+    assert len(got) == 5 * 300
+    for q, near in exact_nearest(rows, 5).items():
+        assert [got[q, n + 1] for n in range(5)] == pytest.approx([s for _, s in near], abs=1e-12)
+
+
+@pytest.mark.parametrize("size", [1, 3, 1_000])
+def test_slices_find_the_same(monkeypatch, size):
+    rng = np.random.default_rng(12)
+    x = np.repeat(rng.normal(size=(20, 4)), 2, axis=0)
+    frame = pd.DataFrame({"class_id": rng.permutation(40), "vec": [v.tobytes() for v in x]})
+    want = crosspolytope.best_of_block(frame.rename(columns={"class_id": "query"}), frame, 3)
+    monkeypatch.setattr(crosspolytope, "SLICE", size)
+    got = crosspolytope.best_of_block(frame.rename(columns={"class_id": "query"}), frame, 3)
+    assert got[["query", "class_id"]].equals(want[["query", "class_id"]]) and np.allclose(got["score"], want["score"])
+
+
 def test_few_candidates_are_all_found(spark):
     df = spark.createDataFrame([(50 * i, [float(i), 1.0, -2.0], 0, "", "") for i in range(4)], VECTORS)
     found = crosspolytope.search(df, F.lit(True), 5, tables=1, probes=1).collect()
