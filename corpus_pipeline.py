@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unmask.llm import fertility, golay, linedup, mixing, packing
-from unmask.llm.common import WORD, quoted, table, word_count
+from unmask.llm.common import WORD, fresh, quoted, table, word_count
 from unmask.llm.queries import fertility_files
 from unmask.session import durable, remove, scratch_made
 
@@ -79,21 +79,33 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Rows that repeat that doc_id are reduced to the one whose columns sort first. Groups without any
-    doc_id keep no document that could be named and go.
+    Rows that repeat that doc_id are reduced to one that is of such a group itself, the one whose columns
+    sort first. Groups without any doc_id keep no document that could be named and go.
     """
     found = golay.near_duplicates(docs)
-    stay = durable(found.select("component_id").distinct().filter("component_id is not null"), "stay")
-    kept = docs.join(stay, docs["doc_id"].cast("long") == F.col("component_id"), "left_semi")
+    first_id, first_fp = fresh(docs, "first_id"), fresh(docs, "first_fp")
+    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias(first_id), F.col("fp").alias(first_fp))
+    first = durable(first.distinct(), "stay")
+    kept = docs.join(first, docs["doc_id"].cast("long") == F.col(first_id), "left_semi")
     again = kept.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
     again = durable(again, "repeated-ids")
     if not again.take(1):
         return kept
-    rows = kept.join(again, "doc_id", "left_semi").groupBy("doc_id")
+    # Such a doc_id may also stand at copies of other documents, so the row's own fingerprint counts.
+    rows = kept.join(again, "doc_id", "left_semi")
+    own_fp = fresh(docs, "own_fp")
+    rows = rows.withColumn(own_fp, F.udf(_fingerprint, "long", useArrow=False)(F.col("text").cast("string")))
+    own = (F.col("doc_id").cast("long") == F.col(first_id)) & (F.col(own_fp) == F.col(first_fp))
+    rows = rows.join(first, own, "left_semi").groupBy("doc_id")
     one = rows.agg(F.min(F.struct(*(quoted(c) for c in docs.columns))).alias("row")).select("row.*")
     return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(one)
 
 
+def _fingerprint(text: str | None) -> int:
+    """The fingerprint as the signed long that golay's tables hold."""
+    return (golay.fingerprint(text) ^ 1 << 63) - (1 << 63)
+
+
 @stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes their words, at most three times.

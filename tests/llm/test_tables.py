@@ -454,5 +454,13 @@ def test_one_row_of_repeated_ids_stays(spark, messy, messy_rows):
     assert max(ids.values()) == 1 and ids[12] == 1 and None not in ids
 
 
+def test_row_of_a_repeated_id_is_no_copy_of_another(spark):
+    base = " ".join(f"{w}{i}" for i, w in enumerate(words("river stone moved under bright cold morning while people walked") * 90))
+    other = " ".join(f"zz{i}" for i in range(300))
+    rows = [(3, base, "k"), (5, base + " thing", "k"), (5, other, "k"), (7, other, "k")]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, first_id string"), "").collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(3, base), (5, other)]
+
+
 def test_entities_decode_once():
     assert wrapper.extract("<p>&amp;lt; &#8217; &copy; &unknown;") == html.unescape("&amp;lt; &#8217; &copy; &unknown;")
