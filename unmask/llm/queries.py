@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import crosspolytope, fertility, golay, linedup, mixing, packing, repair, sharding, unigram, wrapper
+from unmask.llm import collocations, crosspolytope, fertility, golay, lexical, linedup, mixing, packing, repair, sharding, unigram, wrapper
 from unmask.llm.common import table, word_count
 from unmask.session import scratch_path
 
@@ -147,3 +147,67 @@ def op10_golay_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op11_hybrid_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERMS_SQL = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op11_hybrid_lexical"] = f"""with
+cut as (select row_number() over () as doc, doc_id, {TERMS_SQL} as terms from documents where text is not null),
+docs as (select doc, doc_id, terms, len(terms) as n from cut where len(terms) > 0),
+whole as (select cast(count(*) as bigint) as n_docs, cast(sum(n) as bigint) as n_terms from docs),
+postings as (select doc, term, count(*) as tf from (select doc, unnest(terms) as term from docs) group by doc, term),
+asked as (select item_id, term, count(*) as times from (select item_id, unnest({TERMS_SQL}) as term from benchmark) group by item_id, term),
+weights as (
+  select term, cast(floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double)) as bigint) as w
+  from (select term, count(*) as df from postings group by term), whole),
+lengths as (select doc, doc_id, 25 + ((75 * n * n_docs) // n_terms) as m from docs, whole),
+scores as (
+  select item_id, doc_id, doc, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from asked join weights using (term) join postings using (term) join lengths using (doc)
+  group by item_id, doc_id, doc),
+ranked as (
+  select item_id, doc_id, score, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+  from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10"""
+
+
+@query
+def op12_son_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op12_son_collocations"] = rf"""with
+pieces as (
+  select lang, regexp_extract_all(unnest(string_split_regex(translate(text, '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as w
+  from (select coalesce(lang, 'und') as lang, coalesce(text, '') as text from documents)),
+places as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces),
+sizes as (select lang, cast(count(*) as bigint) as n from places group by lang),
+grams as (
+  select lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as phrase
+  from places, (select unnest([1, 2, 3, 4]) as k) where i + k - 1 <= len(w)),
+f as (select lang, k, phrase, cast(count(*) as bigint) as a from grams group by lang, k, phrase having count(*) >= 30),
+cuts as (
+  select lang, k, phrase, a, c, array_to_string(list_slice(string_split(phrase, ' '), 1, c), ' ') as p,
+    array_to_string(list_slice(string_split(phrase, ' '), c + 1, k), ' ') as q
+  from f, (select unnest([1, 2, 3]) as c) where k >= 2 and c < k),
+scored as (
+  select x.lang, x.k, x.phrase, x.a, x.c, l.a as l, r.a as r, cast((2000000::hugeint * x.a) // (l.a::hugeint + r.a) as bigint) as score
+  from cuts x join f l on l.lang = x.lang and l.phrase = x.p join f r on r.lang = x.lang and r.phrase = x.q),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+subs as (
+  select lang, a, array_to_string(list_slice(string_split(phrase, ' '), s, s + z - 1), ' ') as phrase
+  from f, (select unnest([1, 2, 3]) as s), (select unnest([2, 3]) as z) where k > z and s + z - 1 <= k),
+inside as (select lang, phrase, max(a) as within from subs group by lang, phrase),
+ranked as (
+  select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as bigint) as rank, phrase, a, l, r, n, score
+  from lowest left join inside using (lang, phrase) join sizes using (lang)
+  where within is null or 100 * within < 80 * a)
+select * from ranked where rank <= 2000"""
