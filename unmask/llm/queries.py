@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unmask.llm import collocations, crosspolytope, fertility, golay, lexical, linedup, mixing, packing, repair, sharding, unigram, wrapper
+from unmask.llm import collocations, crosspolytope, factorization, fertility, golay, lexical, linedup, mixing, packing, repair, sharding, unigram, wrapper
 from unmask.llm.common import table, word_count
 from unmask.session import scratch_path
 
@@ -211,3 +211,14 @@ ranked as (
   from lowest left join inside using (lang, phrase) join sizes using (lang)
   where within is null or 100 * within < 80 * a)
 select * from ranked where rank <= 2000"""
+
+
+@query
+def op13_factorisation_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document by a model that has not seen the labels of the held-out ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    machine = factorization.train(docs, table(spark, folder, "labels"), "quality", ~held_out)
+    scored = factorization.score(docs, machine)
+    predicted = (F.col("score") >= factorization.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
