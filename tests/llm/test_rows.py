@@ -24,20 +24,48 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 ODD = st.text(alphabet=st.sampled_from(list("abE é'sß.,!?1\n\t\r İΣσ́Å日本\x1c\x85ẞ<|endoftext|>$▁𝒳 ﻿")), max_size=40)
 
 
+def stored_bytes(store):
+    return sum(len(chunk) + len(ids) for chunk, ids in store.items())
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_chunks_encode_like_whole_texts(name):
-    encoder = JsonEncoder(public_tokenizers.path(name), limit=50)
+    encoder = JsonEncoder(public_tokenizers.path(name), limit=10_000)
 
     @settings(max_examples=300, deadline=None)
     @given(st.lists(ODD, max_size=4))
     def same(texts):
         want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
         assert [np.frombuffer(p, "<u4").tolist() for p in encoder.encode(texts)] == want
-        assert len(encoder.store) <= 50
+        assert stored_bytes(encoder.store) <= 10_000
 
     same()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_without_spaces_are_not_remembered(name):
+    """Stores stay small where every text is one chunk, and hold the oldest chunks only after a task."""
+    rng = np.random.default_rng(2)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 3000))) for _ in range(100)]
+    encoder = JsonEncoder(public_tokenizers.path(name))
+    encoder.encode(texts)
+    assert stored_bytes(encoder.store) < 10_000
+    encoder.encode([" ".join(f"w{i}" for i in range(100_000))])
+    assert stored_bytes(encoder.store) <= 32_000_000
+    encoder.store.rest(1_000_000)
+    assert 0 < stored_bytes(encoder.store) <= 1_000_000 and encoder.store.held <= 1_000_000
+    ids = encoder.encode(["w3 w99999 new"])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode("w3 w99999 new", add_special_tokens=False).ids
+    pieces, ranks = fertility.vocabularies(*fertility_files())
+    for v in (pieces, ranks):
+        before = stored_bytes(v.store)
+        v.store.forget(v.store.learn({t.encode() for t in texts}))
+        assert stored_bytes(v.store) == before
+    model = unigram.model(PIECES)
+    model.count(texts[0])
+    assert max(map(len, model.store), default=0) <= unigram.LONGEST_CHUNK
+
+
 # Quality rules
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from unmask.llm import crosspolytope, linedup, mixing, packing, wrapper
+from unmask.llm import crosspolytope, golay, linedup, mixing, packing, wrapper
 from unmask.llm.common import word_count
 from unmask.session import durable
 
@@ -448,10 +448,26 @@ def test_stages_keep_columns_and_take_effect(spark, messy, messy_rows, tmp_path)
         assert stage(spark, docs.limit(0), "").count() == 0
 
 
-def test_one_row_of_repeated_ids_stays(spark, messy, messy_rows):
+def test_rows_are_told_apart_by_their_place(spark, messy, messy_rows):
     out = corpus_pipeline.near_duplicates(spark, messy, "").collect()
     ids = collections.Counter(r.doc_id for r in out)
-    assert max(ids.values()) == 1 and ids[12] == 1 and None not in ids
+    # Different texts of id 10 stay, copies under id 12 are one, and the clean row without an id stays.
+    assert ids[10] == 2 and ids[12] == 1 and ids[None] == 1
+    groups = {}
+    for r in messy_rows:
+        groups.setdefault(golay.fingerprint(r[1]), []).append(r)
+    assert len(out) <= len(groups) and {r[1] for r in messy_rows if r[0] == 10} <= {r.text for r in out}
+    rows = [(1, "alpha beta gamma"), (None, "one two three four"), (2, "red green blue yellow"), (2, "up down left right")]
+    clean = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.text for r in corpus_pipeline.near_duplicates(spark, clean, "").collect()) == sorted(t for _, t in rows)
+
+
+def test_stages_chain_without_tables_between(spark, messy):
+    docs = messy
+    for _, f in corpus_pipeline.STAGES[1:3]:
+        docs = f(spark, docs, "")
+    kept = {r.text for r in docs.collect()}
+    assert len(kept) > 10 and max(r[1] or "" for r in messy.select("doc_id", "text").filter("doc_id = 13").collect()) in kept
 
 
 def test_row_of_a_repeated_id_is_no_copy_of_another(spark):
@@ -459,7 +475,7 @@ def test_row_of_a_repeated_id_is_no_copy_of_another(spark):
     other = " ".join(f"zz{i}" for i in range(300))
     rows = [(3, base, "k"), (5, base + " thing", "k"), (5, other, "k"), (7, other, "k")]
     out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, first_id string"), "").collect()
-    assert sorted((r.doc_id, r.text) for r in out) == [(3, base), (5, other)]
+    assert sorted((r.doc_id, r.text) for r in out) == [(3, base), (5, other)]  # of the first row's group, and of the others'
 
 
 def test_entities_decode_once():

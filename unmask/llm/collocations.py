@@ -1,14 +1,14 @@
 """Phrase collocations by SON partitioning.
 
 The documents are dealt to eight shards. A phrase that a language holds ``least`` times or more is found
-in some shard at its share or more: ``least`` times the shard's words over the language's words. So every
-shard is mined completely at that lower support, level by level (a phrase can only be frequent where both
-its parts without an end word are), the phrases frequent in some shard are united, and all of these are
-counted exactly over all documents.
+in some shard at its share or more: ``least`` times the shard's text over the language's text, in bytes. So
+every shard is mined completely at that lower support, for words, pairs and then longer phrases (a phrase can
+only be frequent where all its pairs are). The phrases frequent in some shard are united; those that cannot
+reach ``least`` over all shards go; all others are counted exactly over all documents.
 
 A shard is a label, not a task: its counts are an aggregate that Spark spreads as any other, so a shard
 may hold an eighth of any corpus. Counting in a shard goes by hashes of the phrase, which can only add
-candidates; the exact count goes by the words themselves. Between the levels the frequent hashes are a
+candidates; the exact count goes by the words themselves. Between the levels the candidates' hashes are a
 bitmap of fixed size, which lets through too much but never too little.
 
 Scale: every slice of text is counted where it is read, and sums are combined before the shuffle, so a phrase
@@ -36,6 +36,8 @@ LONGEST = 4
 SHARDS = 8
 BEST = 2_000
 COVERED_PERCENT = 80
+# Parts of a language that are ranked apart before the best of all are.
+RANK_PARTS = 64
 # Cuts that one task joins with the counts of a frequent part.
 CUTS_PER_SALT = 100_000
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
@@ -64,10 +66,10 @@ class Grams:
         """The low bits are clear; a shard may stand there."""
         return _mixed(self._raw + self.lang[self.at]) & ~_SHARD_BITS
 
-    def longer(self, frequent: Bitmap) -> None:
+    def longer(self, frequent: Bitmap | None) -> None:
         """On to phrases one word longer whose parts without the first and without the last word are in the set."""
         good = np.zeros(len(self.words.code) + 1, dtype=bool)
-        good[self.at[frequent.has(self.h)]] = True
+        good[self.at if frequent is None else self.at[frequent.has(self.h)]] = True
         raw = np.zeros(len(good), dtype=np.uint64)
         raw[self.at] = self._raw
         at = np.flatnonzero(good[:-1] & good[1:])
@@ -79,36 +81,79 @@ class Grams:
         self.at = at
 
 
-def _levels(grams: Grams, sets: list[Bitmap]) -> Iterator[None]:
-    yield
-    for frequent in sets:
-        grams.longer(frequent)
-        yield
+def _local_counts(docs: DataFrame, sets: list[Bitmap], lengths: int) -> DataFrame:
+    """(h, shard, need, n): phrases of ``lengths`` lengths from len(sets) + 1 words on by hash, in each slice.
 
-
-def _local_counts(docs: DataFrame, sets: list[Bitmap]) -> DataFrame:
-    """(key, need, n): phrases of len(sets) + 1 words by hash; key ends with the shard, need is its support."""
+    A phrase longer than the sets go has to have all its shorter parts in them as far as they go.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
                 grams = Grams(part.column(0).to_pylist(), part.column(1).to_pylist())
-                for _ in _levels(grams, sets):
-                    pass
-                doc = grams.words.doc[grams.at]
-                shard = np.asarray(part.column(2)).astype(np.uint64)[doc]
-                key, first, n = np.unique(grams.h | shard, return_index=True, return_counts=True)
-                need = np.asarray(part.column(3))[doc[first]]
-                columns = [pa.array(key.view(np.int64)), pa.array(need), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "need", "n"])
+                for frequent in sets:
+                    grams.longer(frequent)
+                for more in range(lengths):
+                    if more:
+                        grams.longer(None)
+                    doc = grams.words.doc[grams.at]
+                    shard = np.asarray(part.column(2)).astype(np.uint64)[doc]
+                    key, first, n = np.unique(grams.h | shard, return_index=True, return_counts=True)
+                    need = np.asarray(part.column(3))[doc[first]]
+                    columns = [
+                        pa.array((key & ~_SHARD_BITS).view(np.int64)), pa.array((key & _SHARD_BITS).astype(np.int8)),
+                        pa.array(need), pa.array(n.astype(np.int64)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["h", "shard", "need", "n"])
 
-    return docs.select("text", "lang", "shard", "need").mapInArrow(run, "key long, need long, n long")
+    return docs.select("text", "lang", "shard", "need").mapInArrow(run, "h long, shard byte, need long, n long")
 
 
-def locally_frequent(docs: DataFrame, sets: list[Bitmap]) -> DataFrame:
-    """(h): hashes of phrases of len(sets) + 1 words that reach their support in some shard."""
-    counts = _local_counts(docs, sets).groupBy("key").agg(F.sum("n").alias("n"), F.min("need").alias("need"))
-    return counts.filter("n >= need").select(F.col("key").bitwiseAND(F.lit(-SHARDS)).alias("h")).distinct()
+def candidates(docs: DataFrame, sets: list[Bitmap], least: int, lengths: int = 1) -> DataFrame:
+    """(h): hashes of phrases that reach their support in some shard, and ``least`` over all."""
+    # Slices are counted already, so rows go by phrase at once, and both sums are made where they arrive.
+    counts = _local_counts(docs, sets, lengths).repartition(shuffle_partitions(docs.sparkSession), "h")
+    in_shard = counts.groupBy("h", "shard").agg(F.sum("n").alias("n"), F.min("need").alias("need"))
+    whole = in_shard.groupBy("h").agg(F.sum("n").alias("n"), F.max(F.col("n") >= F.col("need")).alias("mined"))
+    return whole.filter(F.col("mined") & (F.col("n") >= least)).select("h")
+
+
+def counted(texts: list[str | None], langs: list[str], sets: list[Bitmap]) -> Iterator[tuple[int, Counter]]:
+    """For each length, how often the phrases let through by its set occur: (language, phrase) to count.
+
+    Length 0 counts each language's words.
+    """
+    grams = Grams(texts, langs)
+    words = grams.words
+    names = words.names.cast(pa.string()).to_pylist()
+
+    def spelled(at: int) -> tuple[str, str]:
+        return langs[words.doc[at]], " ".join(names[c] for c in words.code[at : at + grams.k])
+
+    sizes = np.bincount(words.doc, minlength=len(langs)).tolist()
+    found: Counter = Counter()
+    for lang, n in zip(langs, sizes, strict=True):
+        found[lang, ""] += n
+    yield 0, found
+    for level, frequent in enumerate(sets):
+        if level:
+            grams.longer(sets[level - 1])
+        found = Counter()
+        h = grams.h
+        yes = frequent.has(h)
+        at = grams.at[yes]
+        _, first, which, n = np.unique(h[yes], return_index=True, return_inverse=True, return_counts=True)
+        # Phrases that share a hash with another one are told apart by their words.
+        example = at[first][which]
+        other = grams.lang[at] != grams.lang[example]
+        for i in range(grams.k):
+            other |= words.code[at + i] != words.code[example + i]
+        n = n - np.bincount(which[other], minlength=len(first))
+        for x, count in zip(at[first].tolist(), n.tolist(), strict=True):
+            found[spelled(x)] += count
+        for x in at[other].tolist():
+            found[spelled(x)] += 1
+        yield grams.k, found
 
 
 def _candidate_counts(docs: DataFrame, sets: list[Bitmap]) -> DataFrame:
@@ -117,30 +162,10 @@ def _candidate_counts(docs: DataFrame, sets: list[Bitmap]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                langs = part.column(1).to_pylist()
-                grams = Grams(part.column(0).to_pylist(), langs)
-                words = grams.words
-                names = words.names.cast(pa.string()).to_pylist()
-                for frequent, _ in zip(sets, _levels(grams, sets[:-1]), strict=True):
-                    found: Counter = Counter()
-                    h = grams.h
-                    yes = frequent.has(h)
-                    at = grams.at[yes]
-                    _, first, which, n = np.unique(h[yes], return_index=True, return_inverse=True, return_counts=True)
-                    # Phrases that share a hash with another one are told apart by their words.
-                    other = np.zeros(len(at), dtype=bool)
-                    for i in range(grams.k):
-                        other |= words.code[at + i] != words.code[at[first][which] + i]
-                    other |= grams.lang[at] != grams.lang[at[first][which]]
-                    n = n - np.bincount(which[other], minlength=len(first))
-                    spelled = lambda x: (langs[words.doc[x]], " ".join(names[c] for c in words.code[x : x + grams.k]))  # noqa: E731, B023
-                    for x, count in zip(at[first].tolist(), n.tolist(), strict=True):
-                        found[spelled(x)] += count
-                    for x in at[other].tolist():
-                        found[spelled(x)] += 1
+                for k, found in counted(part.column(0).to_pylist(), part.column(1).to_pylist(), sets):
                     columns = [
                         pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.string()),
-                        pa.array([grams.k] * len(found), pa.int32()), pa.array(list(found.values()), pa.int64()),
+                        pa.array([k] * len(found), pa.int32()), pa.array(list(found.values()), pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
 
@@ -159,25 +184,27 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataF
     An empty table, and one without a frequent phrase, give an empty answer.
     """
     spark = docs.sparkSession
-    words = F.regexp_count(F.regexp_replace("text", PIECE_END, " "), F.lit(r"[^\x20\x09]+"))
     rows = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(SHARDS)))
     with Scratch(spark, "collocations") as scratch:
-        sizes = scratch.table(rows.groupBy("lang", "shard").agg(F.sum(F.coalesce(words, F.lit(0))).cast("long").alias("held")))
-        langs = sizes.groupBy("lang").agg(F.sum("held").alias("n"))
-        # ceil(least * held / n) in whole numbers; shards without a word need nothing.
-        need = F.call_function("div", _whole("held") * F.lit(least) + _whole("n") - F.lit(1), _whole("n"))
-        needs = sizes.join(langs, "lang").filter("n > 0").select("lang", "shard", need.cast("long").alias("need"))
-        needs = scratch.table(needs)
+        held = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).cast("long")
+        sizes = scratch.table(rows.groupBy("lang", "shard").agg(held.alias("held")))
+        whole = sizes.groupBy("lang").agg(F.sum("held").alias("whole")).filter("whole > 0")
+        # ceil(least * held / whole) in whole numbers.
+        need = F.call_function("div", _whole("held") * F.lit(least) + _whole("whole") - F.lit(1), _whole("whole"))
+        needs = scratch.table(sizes.join(whole, "lang").select("lang", "shard", need.cast("long").alias("need")))
         dealt = rows.join(needs, ["lang", "shard"])
         sets: list[Bitmap] = []
-        for _ in range(LONGEST):
-            sets.append(Bitmap.of(scratch.table(locally_frequent(dealt, sets))))
+        for lengths in (1, 1, LONGEST - 2):
+            sets.append(Bitmap.of(scratch.table(candidates(dealt, sets, least, lengths))))
+        sets += sets[-1:] * (LONGEST - len(sets))
         counts = _candidate_counts(rows, sets).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("a"))
-        counts = scratch.table(counts.filter(F.col("a") >= least))
+        counts = scratch.table(counts.filter((F.col("a") >= least) | (F.col("k") == 0)))
+        langs = counts.filter("k = 0").select("lang", F.col("a").alias("n"))
+        counts = counts.filter("k > 0")
 
-        candidates = counts.filter("k >= 2").withColumn("words", F.split("phrase", " "))
-        cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
+        found = counts.filter("k >= 2").withColumn("words", F.split("phrase", " "))
+        cuts = found.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
         joined = lambda start, n: F.array_join(F.slice("words", start, n), " ")
         cuts = cuts.select(
             "lang", "phrase", "k", "a", "cut", joined(F.lit(1), F.col("cut")).alias("first"), joined(F.col("cut") + 1, F.col("k") - F.col("cut")).alias("rest")
@@ -188,14 +215,18 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataF
         lowest = F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("low")
         scored = cuts.groupBy("lang", "phrase", "k", "a").agg(lowest)
 
-        longer = candidates.filter("k >= 3").withColumn("size", F.explode(F.sequence(F.lit(2), F.col("k") - 1)))
+        longer = found.filter("k >= 3").withColumn("size", F.explode(F.sequence(F.lit(2), F.col("k") - 1)))
         longer = longer.withColumn("start", F.explode(F.sequence(F.lit(1), F.col("k") - F.col("size") + 1)))
         inside = longer.groupBy("lang", joined(F.col("start"), F.col("size")).alias("phrase")).agg(F.max("a").alias("within"))
         out = scored.join(inside, ["lang", "phrase"], "left")
         out = out.filter(F.col("within").isNull() | (_whole("within") * 100 < _whole("a") * COVERED_PERCENT))
-        order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+        order = [F.desc("score"), F.desc("a"), "phrase"]
         out = out.select("lang", "phrase", "a", F.col("low.l").alias("l"), F.col("low.r").alias("r"), F.col("low.score").alias("score"))
-        out = out.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= best).join(langs, "lang")
+        # The best of each part first, so that the last ranking sees a bounded number of rows of a language.
+        part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)).alias("part")
+        out = out.select("*", F.row_number().over(W.partitionBy("lang", part).orderBy(*order)).alias("nth")).filter(F.col("nth") <= best)
+        rank = F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")
+        out = out.withColumn("rank", rank).filter(F.col("rank") <= best).join(langs, "lang")
         return durable(out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score"), "collocations")
 
 

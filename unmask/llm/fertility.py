@@ -6,7 +6,7 @@ byte-fallback tokens (bytes that spell part of a character), and the entropy of
 to that of 256 different tokens or of as many as the document has. A document is rejected when a figure lies outside the band
 of its language, or of its script where the language is unknown.
 
-Scale: one pass, row by row, no shuffle. Words are encoded once and remembered up to a limit.
+Scale: one pass, row by row, no shuffle. Words are encoded once and remembered up to a limit in bytes.
 """
 
 from __future__ import annotations
@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unmask.llm.common import cols, fresh, quoted, word_chars
-from unmask.llm.tokens import Store
+from unmask.llm.tokens import Store, held
 
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEATED_PERCENT = 30
-STORE = 500_000
+# Characters of text that are measured at once.
+SLICE = 1_000_000
 # Entropy is set against that of so many different tokens, or of as many as there are if fewer.
 ENTROPY_TOKENS = 256
 _SYMBOLS = "#*$%&|<>"
@@ -91,7 +92,7 @@ class Pieces:
 
         model = SentencePieceProcessor(model_file=path)
         self.fallback = np.array([model.is_byte(i) or model.is_unknown(i) for i in range(model.get_piece_size())])
-        self.store = Store(lambda words: map(self._pack, model.encode([w.decode("utf-8", "replace") for w in words])), STORE)
+        self.store = Store(lambda words: map(self._pack, model.encode([w.decode("utf-8", "replace") for w in words])))
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -114,18 +115,12 @@ class Ranks:
             except UnicodeDecodeError:
                 self.fallback[i] = True
         one = encoding.encode_ordinary
-        self.store = Store(lambda words: (Pieces._pack(one(" " + w.decode("utf-8", "replace"))) for w in words), STORE)
-
-
-_loaded: dict[tuple, tuple[Pieces, Ranks]] = {}
+        self.store = Store(lambda words: (Pieces._pack(one(" " + w.decode("utf-8", "replace"))) for w in words))
 
 
 def vocabularies(pieces: str, ranks: str, pattern: str) -> tuple[Pieces, Ranks]:
     """Both vocabularies, read once in a worker process."""
-    key = (pieces, ranks, pattern)
-    if key not in _loaded:
-        _loaded[key] = Pieces(pieces), Ranks(ranks, pattern)
-    return _loaded[key]
+    return held(("fertility", pieces, ranks, pattern), lambda: (Pieces(pieces), Ranks(ranks, pattern)))
 
 
 def repeated_words(words: list) -> int:
@@ -240,10 +235,12 @@ def quality(docs: DataFrame, pieces: str, ranks: str, pattern: str, bands: dict[
             start = size = 0
             for i, t in enumerate(texts):
                 size += len(t)
-                if size > 4_000_000 or i + 1 == len(texts):
+                if size > SLICE or i + 1 == len(texts):
                     rows += measure(texts[start : i + 1], langs[start : i + 1], first, second, bands)
                     start, size = i + 1, 0
             yield pd.DataFrame(rows, columns=names)
+        for v in (first, second):
+            v.store.rest()
 
     measured = F.pandas_udf(run, MEASURES)
     out = docs.withColumn(key, measured(quoted("text").cast("string"), lang))

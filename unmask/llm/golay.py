@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from unmask.llm.common import shuffle_partitions
+from unmask.llm.common import cols, fresh, quoted, shuffle_partitions
 from unmask.session import Scratch, durable
 
 SHINGLE_WORDS = 3
@@ -233,6 +233,12 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def fingerprint_roots(fps: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """(fp, root): the smallest fingerprint that each of some distinct ones reaches through links."""
+    roots = scratch.table(connected(fingerprint_links(fps, max_bits), scratch))
+    return fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -245,12 +251,32 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     rows = durable(fingerprints(docs, words), "fingerprints")
     with Scratch(spark, "near-duplicates") as scratch:
         distinct = scratch.table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-        links = fingerprint_links(distinct.select("fp"), max_bits)
-        roots = scratch.table(connected(links, scratch))
-        rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        )
-        rooted = scratch.table(rooted)
+        rooted = scratch.table(fingerprint_roots(distinct.select("fp"), max_bits, scratch).join(distinct, "fp"))
         lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
         parts = durable(rooted.join(lowest, "root").select("fp", "component_id"), "components")
     return rows.join(parts, "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near duplicates in ``docs`` (doc_id, text and any others).
+
+    Groups are those of ``near_duplicates``; the row with the least doc_id stays, of equal ids (and where
+    no row has one) the first in the order read. A row in no other's group always stays, whatever its id.
+    """
+    fp, uid = fresh(docs, "_fp"), fresh(docs, "_row")
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = np.fromiter((fingerprint(t, words) for t in texts.to_pylist()), dtype=np.uint64, count=len(texts))
+            yield pa.array(out.view(np.int64))
+
+    marked = docs.withColumn(fp, F.arrow_udf(run, "long")(quoted("text").cast("string")))
+    marked = durable(marked.withColumn(uid, F.monotonically_increasing_id()), "marked")
+    with Scratch(docs.sparkSession, "near-duplicates") as scratch:
+        doc_id = quoted("doc_id").cast("long")
+        first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), quoted(uid).alias("uid")))
+        # One row a fingerprint before anything is joined, so that many copies are no hot key.
+        distinct = scratch.table(marked.groupBy(quoted(fp).alias("fp")).agg(first.alias("first")))
+        rooted = fingerprint_roots(distinct.select("fp"), max_bits, scratch).join(distinct, "fp")
+        chosen = durable(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("chosen")), "chosen")
+    return marked.join(chosen, quoted(uid) == F.col("chosen"), "left_semi").select(*cols(docs))

@@ -112,8 +112,8 @@ def best_fit_decreasing(counts: dict[int, int], window: int) -> tuple[list[tuple
 
 
 class Packing(NamedTuple):
-    """``pieces``: (doc_id, doc_tokens, start, length, ids, piece_id), ids as little-endian unsigned 32-bit
-    integers; ``places``: (piece_id, sequence_id, offset)."""
+    """``pieces``: (row, doc_id, doc_tokens, start, length, ids, piece_id), ids as little-endian unsigned 32-bit
+    integers, row the same for the pieces of one row of the input; ``places``: (piece_id, sequence_id, offset)."""
 
     pieces: DataFrame
     places: DataFrame
@@ -125,12 +125,12 @@ class Packing(NamedTuple):
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFrame:
-    """(doc_id, doc_tokens, start, length, ids) of every piece: full windows, then the rest."""
+    """(row, doc_id, doc_tokens, start, length, ids) of every piece: full windows, then the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = json_encoder(vocabulary)
         end = np.array([end_id], dtype="<u4").tobytes()
-        names = ["doc_id", "doc_tokens", "start", "length", "ids"]
+        names = ["row", "doc_id", "doc_tokens", "start", "length", "ids"]
         for batch in batches:
             keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts):
@@ -143,11 +143,12 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) ->
                         starts.append(at // 4)
                         ids.append(packed[at : at + 4 * window])
                 longs = (pa.array(x, pa.int64()) for x in (totals, starts, [len(x) // 4 for x in ids]))
-                columns = [keys.take(pa.array(which)), *longs, pa.array(ids, pa.binary())]
+                columns = [batch.column(2).take(pa.array(which)), keys.take(pa.array(which)), *longs, pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder.store.rest()
 
-    pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return pairs.mapInArrow(run, "doc_id long, doc_tokens long, start long, length long, ids binary")
+    pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id())
+    return pairs.mapInArrow(run, "row long, doc_id long, doc_tokens long, start long, length long, ids binary")
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW) -> Packing:

@@ -191,6 +191,7 @@ def write_shards(
                         block, keys, packed, held = block + 1, [], [], 0
         if keys:
             yield full()
+        encoder.store.rest()
 
     fields = pa.schema([
         ("part", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()), ("base", pa.int64()), ("width", pa.int32()),

@@ -2,7 +2,8 @@
 
 A text is cut where the tokenizer always cuts, each distinct chunk is encoded once by the library
 and remembered, and a document's ids are the chunks' ids one after another: the same ids as encoding
-the whole text. The store has a limit, so a worker's memory does not grow.
+the whole text. A store is limited in bytes, holds no long chunk, and is cut down to its oldest, most frequent
+chunks when a task ends; a worker holds the vocabularies of one operator at a time.
 """
 
 from __future__ import annotations
@@ -16,7 +17,12 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np  # noqa: E402
 
-STORE = 1_000_000
+# Bytes that a store may hold in a task and after it; longer chunks are not remembered.
+STORE_BYTES = 32_000_000
+REST_BYTES = 8_000_000
+LONGEST_CHUNK = 64
+# What an entry costs beside its chunk and ids.
+_ENTRY_BYTES = 180
 PART = 4_096
 # Unicode white space, as the tokenizers' \s takes it.
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -33,26 +39,49 @@ _BARE = " "
 class Store(dict):
     """chunk -> its ids as little-endian unsigned 32-bit integers.
 
-    The first ``limit`` chunks stay, which soon are all the frequent ones. Later ones are held for
-    the texts at hand only: ``learn`` names them and ``forget`` takes them out again.
+    Short chunks stay until ``limit`` bytes are held, which soon are all the frequent ones. Others are held
+    for the texts at hand only: ``learn`` names them and ``forget`` takes them out again.
     """
 
-    def __init__(self, encode: Callable[[list], Iterable[bytes]], limit: int = STORE):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list], Iterable[bytes]], limit: int = STORE_BYTES):
+        self.encode, self.limit, self.held = encode, limit, 0
+
+    def put(self, chunk: str | bytes, ids: bytes) -> bool:
+        """Hold a chunk; False if only for now."""
+        self[chunk] = ids
+        cost = len(chunk) + len(ids) + _ENTRY_BYTES
+        if len(chunk) > LONGEST_CHUNK or self.held + cost > self.limit:
+            return False
+        self.held += cost
+        return True
 
     def learn(self, chunks: set) -> list:
         # Membership one by one: a difference with the keys would walk the whole store.
-        todo = [c for c in chunks if c not in self]
-        passing = todo[max(0, self.limit - len(self)) :]
+        todo, passing = [c for c in chunks if c not in self], []
         for at in range(0, len(todo), PART):
             part = todo[at : at + PART]
-            self.update(zip(part, self.encode(part), strict=True))
+            passing += [c for c, ids in zip(part, self.encode(part), strict=True) if not self.put(c, ids)]
         return passing
 
     def forget(self, chunks: list) -> None:
         for chunk in chunks:
             del self[chunk]
 
+    def rest(self, limit: int = REST_BYTES) -> None:
+        """Keep the oldest chunks only, as a task ends."""
+        if self.held <= limit:
+            return
+        oldest, held = [], 0
+        for chunk, ids in self.items():
+            held += len(chunk) + len(ids) + _ENTRY_BYTES
+            if held > limit:
+                break
+            oldest.append((chunk, ids))
+        self.clear()
+        self.held = 0
+        for chunk, ids in oldest:
+            self.put(chunk, ids)
+
 
 class JsonEncoder:
     """A vocabulary file of the ``tokenizers`` library; strings of special tokens are ordinary text.
@@ -61,7 +90,7 @@ class JsonEncoder:
     drop white space. End marks after a letter are encoded apart, as both kinds of file split there.
     """
 
-    def __init__(self, path: str, limit: int = STORE):
+    def __init__(self, path: str, limit: int = STORE_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -130,9 +159,8 @@ class JsonEncoder:
                 whole.add(c)
         passing = store.learn(whole.union(*split.values()))
         for c, (core, tail) in split.items():
-            if len(store) >= store.limit:
+            if not store.put(c, store[core] + store[tail]):
                 passing.append(c)
-            store[c] = store[core] + store[tail]
         # A small table of what is at hand is looked up faster than the store.
         near = dict(zip(distinct, map(store.__getitem__, distinct), strict=True))
         out = [b"".join(map(near.__getitem__, chunks)) for chunks in lists]
@@ -140,17 +168,22 @@ class JsonEncoder:
         return out
 
 
-_encoders: dict[str, JsonEncoder] = {}
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` loads, one for each worker process; what another key loaded goes first."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
 
 
 def json_encoder(path: str) -> JsonEncoder:
-    """One encoder for each file and worker process."""
-    if path not in _encoders:
-        _encoders[path] = JsonEncoder(path)
-    return _encoders[path]
+    return held(("json", path), lambda: JsonEncoder(path))
 
 
-def slices(texts: list, chars: int = 4_000_000) -> Iterable[tuple[int, int]]:
+def slices(texts: list, chars: int = 1_000_000) -> Iterable[tuple[int, int]]:
     """Ranges of a list with about so many characters each, so that long texts do not pile up."""
     start = size = 0
     for i, t in enumerate(texts):

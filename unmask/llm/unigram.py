@@ -12,7 +12,7 @@ unknown characters counts as the bytes that spell it if the vocabulary has them
 Where no piece goes on past the start of a word, texts fall into chunks that are solved apart, and
 equal chunks once: the same count and, for scores whose sums are exact, the same ties.
 
-Scale: one pass, row by row, no shuffle. The store of solved chunks is bounded.
+Scale: one pass, row by row, no shuffle. The store of solved chunks is bounded in number and length.
 """
 
 from __future__ import annotations
@@ -26,9 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unmask.llm.common import cols, fresh, quoted
+from unmask.llm.tokens import held
 
 UNKNOWN_PENALTY = 10.0
-STORE = 400_000
+# Solved chunks that a worker remembers, and the longest of them: about 40 MB.
+STORE = 200_000
+LONGEST_CHUNK = 32
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -100,21 +103,16 @@ class Unigram:
             solved = self.store.get(chunk)
             if solved is None:
                 solved = self.solve(chunk)
-                if len(self.store) < self.limit:
+                if len(chunk) <= LONGEST_CHUNK and len(self.store) < self.limit:
                     self.store[chunk] = solved
             score += solved[0]
             tokens += solved[1]
         return score, tokens
 
 
-_models: dict[str, Unigram] = {}
-
-
 def model(path: str) -> Unigram:
     """One model for each file and worker process."""
-    if path not in _models:
-        _models[path] = Unigram.from_file(path)
-    return _models[path]
+    return held(("unigram", path), lambda: Unigram.from_file(path))
 
 
 def token_counts(docs: DataFrame, vocabulary: str, tokens: str = "n_tokens", score: str = "best_score") -> DataFrame:
