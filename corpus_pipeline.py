@@ -1,7 +1,7 @@
 """The corpus pipeline: documents in, packed training sequences out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns is written as Parquet
-and read again as the next stage's docs, and then the stage's scratch tables go. All but the last keep
+and read again as the next stage's docs; scratch tables go as soon as no stage reads them. All but the last keep
 the columns of documents.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unmask.llm import fertility, golay, linedup, mixing, packing
-from unmask.llm.common import WORD, fresh, quoted, table, word_count
+from unmask.llm.common import WORD, quoted, table, word_count
 from unmask.llm.queries import fertility_files
 from unmask.session import durable, remove, scratch_made
 
@@ -27,15 +27,21 @@ _spent: list[str] = []
 
 
 def stage(fn: Stage) -> Stage:
-    """A stage that first removes the scratch tables of the stage before, whose result is written by now."""
+    """A stage that first removes what the stages before have left in the scratch folder and nothing reads.
+
+    What ``docs`` still reads stays, so stages also work one after another without a table between them.
+    """
 
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        needed = [path for path in _spent if any(path.rsplit("/", 1)[-1] in file for file in read)]
         for path in _spent:
-            remove(spark, path)
+            if path not in needed:
+                remove(spark, path)
         before = set(scratch_made())
         out = fn(spark, docs, sf_dir)
-        _spent[:] = [path for path in scratch_made() if path not in before]
+        _spent[:] = needed + [path for path in scratch_made() if path not in before]
         return out
 
     return run_stage
@@ -79,31 +85,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Rows that repeat that doc_id are reduced to one that is of such a group itself, the one whose columns
-    sort first. Groups without any doc_id keep no document that could be named and go.
+    Rows are told apart by their place, not by their id: a document without an id, or one whose id another
+    document bears too, stays unless a near duplicate of it does. Of equal ids the first row read stays.
     """
-    found = golay.near_duplicates(docs)
-    first_id, first_fp = fresh(docs, "first_id"), fresh(docs, "first_fp")
-    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias(first_id), F.col("fp").alias(first_fp))
-    first = durable(first.distinct(), "stay")
-    kept = docs.join(first, docs["doc_id"].cast("long") == F.col(first_id), "left_semi")
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    again = durable(again, "repeated-ids")
-    if not again.take(1):
-        return kept
-    # Such a doc_id may also stand at copies of other documents, so the row's own fingerprint counts.
-    rows = kept.join(again, "doc_id", "left_semi")
-    own_fp = fresh(docs, "own_fp")
-    rows = rows.withColumn(own_fp, F.udf(_fingerprint, "long", useArrow=False)(F.col("text").cast("string")))
-    own = (F.col("doc_id").cast("long") == F.col(first_id)) & (F.col(own_fp) == F.col(first_fp))
-    rows = rows.join(first, own, "left_semi").groupBy("doc_id")
-    one = rows.agg(F.min(F.struct(*(quoted(c) for c in docs.columns))).alias("row")).select("row.*")
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(one)
-
-
-def _fingerprint(text: str | None) -> int:
-    """The fingerprint as the signed long that golay's tables hold."""
-    return (golay.fingerprint(text) ^ 1 << 63) - (1 << 63)
+    return golay.first_of_groups(docs)
 
 
 @stage
@@ -135,9 +120,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' ids with their places in sequences of at most 4096 tokens."""
+    """Pieces of the documents' ids with their places in sequences of at most 4096 tokens.
+
+    ``row`` tells the copies of a document apart that the mix has made.
+    """
     packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packed.placed("doc_id", "start", "length", "ids", "doc_tokens")
+    return packed.placed("row", "doc_id", "start", "length", "ids", "doc_tokens")
 
 
 STAGES: list[tuple[str, Stage]] = [
