@@ -26,9 +26,9 @@ def brute_structural(rows, numerics, nominals):
     return out
 
 
-@pytest.mark.parametrize("cell_rows", [20_000, 15, 3])
+@pytest.mark.parametrize("salt", [20_000, 3])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_structural_is_exact(spark, cell_rows, seed):
+def test_structural_is_exact(spark, salt, seed):
     rnd = random.Random(seed)
     rows = [
         {
@@ -44,15 +44,50 @@ def test_structural_is_exact(spark, cell_rows, seed):
     ]
     df = spark.createDataFrame(rows, "code string, price double, size double, kind string, closure string, mystery boolean")
     df = df.repartition(3)
-    got = structural.nearest_known(df, "code", "mystery", ["price", "size"], ["kind", "closure"], cell_rows=cell_rows)
+    got = structural.nearest_known(df, "code", "mystery", ["price", "size"], ["kind", "closure"], rows_per_salt=salt)
     want = brute_structural(rows, ["price", "size"], ["kind", "closure"])
     assert {r["stockcode_x"]: (r["distance"], r["stockcode_y"]) for r in got.collect()} == want
     good = structural.nearest_known(
-        df, "code", "mystery", ["price", "size"], ["kind", "closure"], good_only=True, cell_rows=cell_rows
+        df, "code", "mystery", ["price", "size"], ["kind", "closure"], good_only=True, rows_per_salt=salt
     )
     assert {r["stockcode_x"] for r in good.collect()} == {k for k, v in want.items() if v[0] < 1.8}
 
 
+@pytest.mark.parametrize("n_numerics", [0, 1, 3])
+def test_structural_with_many_nominals(spark, n_numerics):
+    """Of 24 nominals a close pair agrees in whole groups; a far mystery and one without company are found too."""
+    rnd = random.Random(n_numerics)
+    numerics, nominals = [f"x{i}" for i in range(n_numerics)], [f"a{i}" for i in range(24)]
+    base = [{c: rnd.choice([None, "p", "q", "r"]) for c in nominals} for _ in range(12)]
+    rows = []
+    for i in range(240):
+        row = dict(rnd.choice(base))
+        for c in rnd.sample(nominals, rnd.choice([0, 1, 2, 3, 9])):
+            row[c] = rnd.choice([None, "p", "s"])
+        row |= {c: rnd.choice([-7.5, 0.0, 0.25, 3.0, None]) for c in numerics}
+        rows.append({"code": f"c{i:03}", "mystery": rnd.random() < 0.3, **row})
+    if numerics:
+        rows[0] |= {"mystery": True, "x0": 1e6}
+    schema = "code string, mystery boolean, " + ", ".join([f"{c} string" for c in nominals] + [f"{c} double" for c in numerics])
+    df = spark.createDataFrame([[r[f.split()[0]] for f in schema.split(", ")] for r in rows], schema)
+    got = structural.nearest_known(df, "code", "mystery", numerics, nominals)
+    want = brute_structural(rows, numerics, nominals)
+    assert {r["stockcode_x"]: (r["distance"], r["stockcode_y"]) for r in got.collect()} == want
+
+
+def test_structural_candidates_are_few(spark):
+    rnd = random.Random(8)
+    rows = [(i, round(rnd.uniform(0, 1000), 1), float(rnd.randint(1, 40)), rnd.choice("abcde"), i % 5 == 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "code long, price double, size double, kind string, mystery boolean")
+    features = structural.Features(["price", "size"], ["kind"])
+    sides = [features.profiles(df.filter(c), "code", []) for c in ("mystery", "not mystery")]
+    n = structural.candidates(*sides, features).count()
+    assert n < 0.01 * 800 * 3200
+    empty = df.limit(0)
+    assert structural.nearest_known(empty, "code", "mystery", ["price"], ["kind"]).count() == 0
+    assert structural.nearest_known(df.filter("mystery"), "code", "mystery", ["price"], ["kind"]).count() == 0
+
+
 def test_threshold_is_strict_and_ties_go_to_smallest_code(spark):
     rows = [("m", 0.0, True), ("z", 1.8, False), ("y", -1.8, False)]
     df = spark.createDataFrame(rows, "code string, price double, mystery boolean")
@@ -81,8 +116,8 @@ def test_structure_with_text_over_many_cells(spark):
             d2 = max(0.0, (a[1] - b[1]) ** 2 + bool(va) + bool(vb) - 2 * dot)
             options.append((round(math.sqrt(d2), 6), b[0]))
         want[a[0]] = min(options)
-    for cell_rows in (20_000, 10):
-        got = structural.nearest_known(df, "code", "mystery", ["price"], [], texts=[vectors], cell_rows=cell_rows).collect()
+    for salt in (20_000, 3):
+        got = structural.nearest_known(df, "code", "mystery", ["price"], [], texts=[vectors], rows_per_salt=salt).collect()
         assert {r["stockcode_x"]: r["stockcode_y"] for r in got} == {k: v[1] for k, v in want.items()}
         assert all(abs(r["distance"] - want[r["stockcode_x"]][0]) < 2e-6 for r in got)
 
