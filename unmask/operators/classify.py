@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unmask.operators.blocks import best_in_blocks, matrix
+from unmask.operators.order import with_position
 from unmask.session import durable
 
 SCORE_DIGITS = 6
@@ -34,13 +35,7 @@ def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
     Values are sorted over many tasks; a task numbers its own and adds how many lie before its range.
     """
     values = df.select(F.col(column).cast("string").alias("value")).filter("value is not null").distinct()
-    sorted_ = durable(values.orderBy("value").withColumn("at", F.monotonically_increasing_id()), "values")
-    part = F.shiftright("at", 33)
-    sizes = sorted_.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    own = sorted_.select("value", part.alias("part"), (F.col("at") - F.shiftleft(part, 33)).alias("nth"))
-    return own.join(offsets, "part").select("value", (F.col("offset") + F.col("nth")).cast("int").alias("code"))
+    return with_position(values.orderBy("value")).select("value", (F.col("position") - 1).cast("int").alias("code"))
 
 
 def gaussian_model(train: DataFrame, label: str, features: Column) -> DataFrame:

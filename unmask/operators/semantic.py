@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from unmask.functions import text as tx
@@ -31,30 +31,33 @@ def word_vectors(
     a sign, at one of ``size`` places that a digest of the neighbour names, so vectors have one size
     whatever the vocabulary. Only counts and sums: any number of tasks gives the same vectors.
     """
-    words = df.filter(F.col(text).isNotNull()).select(
-        F.col(key).alias("id"), F.posexplode(tx.ascii_words(F.col(text))).alias("pos", "term")
-    )
+    numbered = df.filter(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("doc"), text)
+    words = numbered.select("doc", F.posexplode(tx.ascii_words(F.col(text))).alias("pos", "term"))
     frequent = words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    frequent = durable(frequent, "frequent-words")
-    kept = words.join(frequent.select("term"), "term")
-    order = Window.partitionBy("id").orderBy("pos")
-    ahead = F.array(*[F.lead("term", i).over(order) for i in range(1, window + 1)])
-    pairs = kept.withColumn("ahead", ahead).select("term", F.explode("ahead").alias("near")).filter("near is not null")
-    once = durable(pairs.groupBy("term", "near").agg(F.count(F.lit(1)).alias("n")), "neighbours")
-    both = once.union(once.select("near", "term", "n")).groupBy("term", "near").agg(F.sum("n").alias("n"))
-    margins = durable(once.select("term", "n").union(once.select("near", "n")).groupBy("term").agg(F.sum("n").alias("m")), "margins")
-    total = float(margins.agg(F.sum("m")).first()[0] or 1)
+    # Words are numbers from here on: all that is counted and joined is a pair of them.
+    frequent = durable(frequent.withColumn("tid", F.monotonically_increasing_id()), "frequent-words")
+    kept = words.join(frequent.select("term", "tid"), "term")
+    # A document's own words, no more than its text holds.
+    texts = kept.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("pos", "tid"))).alias("w")).select(F.col("w.tid").alias("w"))
+    places = texts.select("w", F.posexplode("w").alias("at", "a"))
+    pairs = places.select("a", F.explode(F.slice("w", F.col("at") + 2, window)).alias("b"))
+    once = durable(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "neighbours")
+    both = once.union(once.select("b", "a", "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    margins = once.select("a", "n").union(once.select("b", "n")).groupBy("a").agg(F.sum("n").alias("m"))
     digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint")
     place, sign = digest % size, F.when(F.floor(digest / size) % 2 == 0, 1.0).otherwise(-1.0)
-    theirs = margins.select(F.col("term").alias("near"), F.col("m").alias("m2"), place.alias("place"), sign.alias("sign"))
-    known = both.join(margins, "term").join(theirs, "near")
+    margins = margins.join(frequent.select(F.col("tid").alias("a"), place.alias("place"), sign.alias("sign")), "a")
+    margins = durable(margins, "margins")
+    total = float(margins.agg(F.sum("m")).first()[0] or 1)
+    theirs = margins.select(F.col("a").alias("b"), F.col("m").alias("m2"), "place", "sign")
+    known = both.join(margins.select("a", "m"), "a").join(theirs, "b")
     pmi = F.log(F.col("n") * F.lit(total) / (F.col("m").cast("double") * F.col("m2")))
-    parts = known.select("term", "place", (F.col("sign") * F.greatest(pmi, F.lit(0.0))).alias("x"))
-    parts = parts.groupBy("term", "place").agg(F.sum("x").alias("x"))
+    parts = known.select(F.col("a").alias("tid"), "place", (F.col("sign") * F.greatest(pmi, F.lit(0.0))).alias("x"))
+    parts = parts.groupBy("tid", "place").agg(F.sum("x").alias("x"))
     held = F.map_from_entries(F.collect_list(F.struct("place", "x")))
     dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda d: F.coalesce(F.col("held")[d.cast("bigint")], F.lit(0.0)))
-    vectors = parts.groupBy("term").agg(held.alias("held")).select("term", dense.alias("vector"))
-    return vectors.join(frequent, "term").select("term", "n", "vector")
+    vectors = parts.groupBy("tid").agg(held.alias("held")).select("tid", dense.alias("vector"))
+    return vectors.join(frequent, "tid").select("term", "n", "vector")
 
 
 def similar_words(vectors: DataFrame, word: str, n: int = 10, restrict_vocab: int | None = None) -> DataFrame:

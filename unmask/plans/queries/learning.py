@@ -60,18 +60,22 @@ WORDS_SQL = r"""
 words as (
   select doc_id, unnest(w) as term, unnest(range(0, len(w))) as pos from (
     select doc_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '[a-z0-9_]+')) as w from documents)),
-frequent as (select term, count(*) as n from words group by term having count(*) >= 5),
-kept as (select doc_id, term, row_number() over (partition by doc_id order by pos) as i from words join frequent using (term)),
-steps as (select doc_id, term, i, unnest(range(1, 11)) as step from kept),
-once as (
-  select a.term as a, b.term as b, count(*) as n from steps a join kept b on a.doc_id = b.doc_id and b.i = a.i + a.step group by all),
-both_ways as (select a, b, sum(n)::double as n from (select a, b, n from once union all select b, a, n from once) group by all),
-margins as (select a as term, sum(n)::double as m, ('0x' || substr(md5(a), 1, 8))::bigint as h from both_ways group by a),
-vectors as (
-  select o.a as term, y.h % 100 as place,
+frequent as materialized (
+  select term, n, row_number() over ()::integer as id from (select term, count(*) as n from words group by term having count(*) >= 5)),
+kept as materialized (select doc_id, pos, id from words join frequent using (term)),
+once as materialized (
+  select a, b, count(*) as n from (
+    select id as a, unnest([LEADS]) as b from kept window w as (partition by doc_id order by pos)) where b is not null group by all),
+both_ways as materialized (
+  select a, b, sum(n)::double as n from (select a, b, n from once union all select b, a, n from once) group by all),
+margins as materialized (
+  select a as id, term, sum(both_ways.n)::double as m, ('0x' || substr(md5(term), 1, 8))::bigint as h
+  from both_ways join frequent on frequent.id = a group by a, term),
+vectors as materialized (
+  select x.term, y.h % 100 as place,
     sum((case when (y.h // 100) % 2 = 0 then 1.0 else -1.0 end)::double
       * greatest(ln(o.n * (select sum(m) from margins) / (x.m * y.m)), 0.0)) as x
-  from both_ways o join margins x on x.term = o.a join margins y on y.term = o.b group by all)"""
+  from both_ways o join margins x on x.id = o.a join margins y on y.id = o.b group by all)""".replace("LEADS", ", ".join(f"lead(id, {i}) over w" for i in range(1, 11)))
 
 
 def _word_vectors(spark, folder):
@@ -83,9 +87,10 @@ def _word_vectors(spark, folder):
     f"""with {WORDS_SQL},
     norms as (select term, sqrt(sum(x * x)) as norm from vectors group by term),
     top_word as (select term from frequent order by n desc, term limit 1),
+    own as materialized (select place, x from vectors where term = (select term from top_word)),
     dots as (
-      select v.term, sum(v.x * q.x) as dot from vectors v join vectors q using (place)
-      where q.term = (select term from top_word) and v.term <> q.term group by v.term),
+      select v.term, sum(v.x * q.x) as dot from vectors v join own q using (place)
+      where v.term <> (select term from top_word) group by v.term),
     cosines as (
       select term, dot / (norm * (select norm from norms where term = (select term from top_word))) as c
       from dots join norms using (term) where norm > 0)
@@ -104,9 +109,10 @@ def similar_words(spark, folder):
     norms as (select term, sqrt(sum(x * x)) as norm from vectors group by term),
     top_word as (select term from frequent order by n desc, term limit 1),
     near_words as (select term from frequent where term in (select term from vectors) order by n desc, term limit 200),
+    own as materialized (select place, x from vectors where term = (select term from top_word)),
     dots as (
-      select v.term, sum(v.x * q.x) as dot from vectors v join vectors q using (place)
-      where q.term = (select term from top_word) and v.term <> q.term and v.term in (select term from near_words) group by v.term)
+      select v.term, sum(v.x * q.x) as dot from vectors v join own q using (place)
+      where v.term <> (select term from top_word) and v.term in (select term from near_words) group by v.term)
     select term, round(dot / (norm * (select norm from norms where term = (select term from top_word))), 4) as cosine
     from dots join norms using (term) where norm > 0
     order by round(dot / (norm * (select norm from norms where term = (select term from top_word))), 6) desc, term limit 10""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from unmask.operators import assemble, exact, fuzzy, profile, structural
+from unmask.operators.order import with_position
 from unmask.plans import nightly
 from unmask.plans.queries.registry import query
 from unmask.plans.standins import documents, part_catalogue, table
@@ -184,6 +185,31 @@ def match_enriched(spark, folder):
     )
 
 
+@query(
+    "match_order",
+    f"""with {CATALOGUE_SQL}, {KNN_SQL}
+    select k.stockcode_x, k.stockcode_y, row_number() over (
+      order by k.match_level, round(x.price_single - x.price_promo, 2) desc nulls last, k.stockcode_x, k.stockcode_y) as position
+    from knn k join catalogue x on x.stockcode = k.stockcode_x and x.is_for_delivery""",
+)
+def match_order(spark, folder):
+    """The place of every match by level and savings."""
+    return with_position(match_enriched(spark, folder)).select("stockcode_x", "stockcode_y", "position")
+
+
+@query(
+    "assembly_order",
+    f"""with {CATALOGUE_SQL}, {KNN_SQL},
+    rows as (
+      select distinct {ASSEMBLY_SQL} from catalogue x join knn k on x.stockcode = k.stockcode_x and k.match_level = 'Good'
+      left join catalogue y on y.stockcode = k.stockcode_y where x.is_for_delivery)
+    select stockcode_x, stockcode_y, row_number() over (order by savings desc nulls last, stockcode_x, stockcode_y) as position from rows""",
+)
+def assembly_order(spark, folder):
+    """The place of every result row by savings."""
+    return with_position(match_assembly(spark, folder)).select("stockcode_x", "stockcode_y", "position")
+
+
 @query(
     "text_match_enriched",
     """

@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from unmask.operators import snapshots as snap
+from unmask.operators.order import with_position
 from unmask.plans import refresh, reports
 from unmask.plans.queries.registry import query
 from unmask.plans.queries.snapshots import SNAPSHOT_SQL
@@ -40,6 +41,17 @@ def new_items_today(spark, folder):
     return reports.new_items(event_snapshot(spark, folder), event_matches(spark, folder))
 
 
+@query(
+    "new_items_order",
+    f"""with report as ({_new_items_sql(0, "")})
+    select *, row_number() over (
+      order by varietal desc nulls last, savings desc nulls last, mystery nulls first, solved nulls first) as position from report""",
+)
+def new_items_order(spark, folder):
+    """The place of every row of the report: by variety, then by savings."""
+    return with_position(new_items_today(spark, folder))
+
+
 @query("new_items_promo", _new_items_sql(14, "and r.price_after is not null"))
 def new_items_promo(spark, folder):
     return reports.new_items(event_snapshot(spark, folder), event_matches(spark, folder), window_days=14, promo=True)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from unmask.functions import scalars as sc
 from unmask.operators import profile
 from unmask.operators import snapshots as snap
+from unmask.operators.order import with_position
 from unmask.plans.queries.registry import query
 from unmask.plans.standins import day_of, event_snapshot, table
 
@@ -254,6 +255,19 @@ def savings_sorted(spark, folder):
     return out.orderBy(F.desc_nulls_last("savings"), "l_orderkey", "l_linenumber", "l_partkey")
 
 
+@query(
+    "savings_order",
+    """
+    select l_orderkey, l_linenumber, l_partkey,
+      row_number() over (order by savings desc nulls last, l_orderkey, l_linenumber, l_partkey) as position
+    from (select *, round(cast(l_extendedprice as decimal(18,4)) - cast(l_extendedprice * (1 - l_discount) as decimal(18,4)), 2)::double as savings
+      from lineitem)""",
+)
+def savings_order(spark, folder):
+    """The place of every row among the sorted savings."""
+    return with_position(savings_sorted(spark, folder).drop("savings"))
+
+
 @query("top_n", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10")
 def top_n(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey", "o_totalprice").orderBy(

@@ -33,12 +33,15 @@ COUNT_FIELDS = ["StockOnHand", "BackorderStockOnHand", "DisplayQuantity", "Minim
                 "QuantityInTrolley", "SupplyLimit"]
 NUMBER_FIELDS = ["OverallRating"]
 
-# Stock counts per way of delivery, each with a message, and availability flags.
-STOCK_CHANNELS = ["clickandcollect2hrs", "clickandcollect7days", "findinstore", "nextdaydelivery",
-                  "pickadaydelivery", "samedaydelivery"]
-STOCK_COUNTS = ["availableinventoryqty", "backorderavailableinventoryqty", "onlineinventoryqty"]
+# Fields of the stock record, whole numbers, flags and messages.
+STOCK_COUNTS = ["availableinventoryqty", "backorderavailableinventoryqty", "onlineinventoryqty",
+                "clickandcollect2hrsinventoryqty", "clickandcollect7daysinventoryqty", "findinstoreinventoryqty",
+                "nextdaydeliveryinventoryqty", "pickadaydeliveryinventoryqty", "samedaydeliveryinventoryqty"]
 STOCK_FLAGS = ["backorderinventoryflag", "isfindme2hrsinventoryavailable", "isfindme7daysinventoryavailable",
                "isfindmedeliveryinventoryavailable"]
+STOCK_MESSAGES = ["clickandcollect2hrsinventoryqtymessage", "clickandcollect7daysinventoryqtymessage",
+                  "findinstoreinventoryqtymessage", "nextdaydeliveryinventoryqtymessage",
+                  "pickadaydeliveryinventoryqtymessage", "samedaydeliveryinventoryqtymessage"]
 PICKUP_FIELDS = ["Available", "DistanceFromDeliveryLocation", "StoreName", "StoreNo"]
 
 # Names of the free attributes that become columns.
@@ -77,9 +80,7 @@ def price_type() -> T.StructType:
 def inventory_type() -> T.StructType:
     fields: list[tuple[str, T.DataType]] = [(c, T.LongType()) for c in STOCK_COUNTS]
     fields += [(c, T.BooleanType()) for c in STOCK_FLAGS]
-    for channel in STOCK_CHANNELS:
-        fields += [(f"{channel}inventoryqty", T.LongType()), (f"{channel}inventoryqtymessage", T.StringType())]
-    return _struct(fields)
+    return _struct(fields + [(c, T.StringType()) for c in STOCK_MESSAGES])
 
 
 CATEGORIES = T.ArrayType(_struct([("UrlFriendlyName", T.StringType())]))
