@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from unmask.operators import fuzzy, sparse, structural, text_match
 from unmask.operators.exact import exact_text_match
@@ -133,15 +134,14 @@ def vectors_of(rnd, n, prefix):
     return rows
 
 
-@pytest.mark.parametrize("k,min_score,frequent,chunk", [(1, 0.0, None, 4000), (1, 0.0, 8, 10), (3, 0.0, 8, 10), (2, 0.6, 8, 10)])
-def test_sparse_search_is_exact(spark, k, min_score, frequent, chunk):
+@pytest.mark.parametrize("k,min_score,salt,seeds", [(1, 0.0, 50_000, 200), (1, 0.0, 5, 6), (3, 0.0, 5, 6), (2, 0.6, 5, 0)])
+def test_sparse_search_is_exact(spark, k, min_score, salt, seeds):
     rnd = random.Random(k)
     q, d = vectors_of(rnd, 60, "q"), vectors_of(rnd, 90, "d")
     schema = "id string, term string, weight double"
     got = sparse.top_k(
-        spark.createDataFrame(q, schema), spark.createDataFrame(d, schema), k, min_score,
-        seed_rows=6, frequent=frequent, rows_per_salt=5, chunk_documents=chunk,
-    ).collect()
+        spark.createDataFrame(q, schema), spark.createDataFrame(d, schema), k, min_score, seed_rows=seeds, rows_per_salt=salt
+    ).collect()
     docs: dict = {}
     for i, t, w in d:
         docs.setdefault(t, []).append((i, w))
@@ -157,6 +157,25 @@ def test_sparse_search_is_exact(spark, k, min_score, frequent, chunk):
     assert {(r["qid"], r["rank"]): (r["did"], round(r["score"], 6)) for r in got} == want
 
 
+def test_sparse_search_leaves_most_pairs_alone(spark):
+    """Frequent terms are in every document, yet few documents can be the nearest."""
+    rnd = random.Random(6)
+
+    def vectors(n, prefix):
+        rows = []
+        for i in range(n):
+            terms = {f"f{j}": rnd.uniform(0.5, 1.5) for j in range(8)} | {f"r{rnd.randint(0, 2000)}": rnd.uniform(2, 4) for _ in range(12)}
+            norm = math.sqrt(sum(w * w for w in terms.values()))
+            rows += [(f"{prefix}{i:04}", t, w / norm) for t, w in terms.items()]
+        return spark.createDataFrame(rows, "id string, term string, weight double")
+
+    q = vectors(200, "q").select(F.col("id").alias("qid"), "term", F.col("weight").alias("q_weight"))
+    d = vectors(800, "d").select(F.col("id").alias("did"), "term", F.col("weight").alias("d_weight"))
+    index = sparse._Index(q, d)
+    cuts = sparse._choose_cuts(index, sparse._seed_bounds(index, 1, 0.0, 200, 50_000))
+    assert sparse.candidates(index, cuts).count() < 0.25 * 200 * 800
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
