@@ -17,11 +17,11 @@ that fills a third of the corpus is a row a slice. Nothing grows on the driver:
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -118,42 +118,39 @@ def candidates(docs: DataFrame, sets: list[Bitmap], least: int, lengths: int = 1
     return whole.filter(F.col("mined") & (F.col("n") >= least)).select("h")
 
 
-def counted(texts: list[str | None], langs: list[str], sets: list[Bitmap]) -> Iterator[tuple[int, Counter]]:
-    """For each length, how often the phrases let through by its set occur: (language, phrase) to count.
+def counted(texts: list[str | None], langs: list[str], sets: list[Bitmap]) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, k, n) for each length k: how often the phrases let through by its set occur.
 
-    Length 0 counts each language's words.
+    Length 0 counts each document's words. A phrase may stand in several rows.
     """
     grams = Grams(texts, langs)
     words = grams.words
-    names = words.names.cast(pa.string()).to_pylist()
+    names, lang_of = words.names.cast(pa.string()), pa.array(langs, pa.string())
 
-    def spelled(at: int) -> tuple[str, str]:
-        return langs[words.doc[at]], " ".join(names[c] for c in words.code[at : at + grams.k])
+    def rows(at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        spelled = [names.take(pa.array(words.code[at + i])) for i in range(grams.k)]
+        phrase = pa.compute.binary_join_element_wise(*spelled, " ") if grams.k > 1 else spelled[0]
+        columns = [lang_of.take(pa.array(words.doc[at])), phrase, pa.array(np.full(len(at), grams.k, dtype=np.int32)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
 
-    sizes = np.bincount(words.doc, minlength=len(langs)).tolist()
-    found: Counter = Counter()
-    for lang, n in zip(langs, sizes, strict=True):
-        found[lang, ""] += n
-    yield 0, found
+    sizes = np.bincount(words.doc, minlength=len(langs))
+    none = [pa.array([""] * len(langs), pa.string()), pa.array(np.zeros(len(langs), dtype=np.int32))]
+    yield pa.RecordBatch.from_arrays([lang_of, *none, pa.array(sizes.astype(np.int64))], names=["lang", "phrase", "k", "n"])
     for level, frequent in enumerate(sets):
         if level:
             grams.longer(sets[level - 1])
-        found = Counter()
         h = grams.h
         yes = frequent.has(h)
         at = grams.at[yes]
         _, first, which, n = np.unique(h[yes], return_index=True, return_inverse=True, return_counts=True)
-        # Phrases that share a hash with another one are told apart by their words.
+        # Phrases that share a hash with another one are told apart by their words, and stand in rows of their own.
         example = at[first][which]
         other = grams.lang[at] != grams.lang[example]
         for i in range(grams.k):
             other |= words.code[at + i] != words.code[example + i]
-        n = n - np.bincount(which[other], minlength=len(first))
-        for x, count in zip(at[first].tolist(), n.tolist(), strict=True):
-            found[spelled(x)] += count
-        for x in at[other].tolist():
-            found[spelled(x)] += 1
-        yield grams.k, found
+        yield rows(at[first], n - np.bincount(which[other], minlength=len(first)))
+        if other.any():
+            yield rows(at[other], np.ones(int(other.sum())))
 
 
 def _candidate_counts(docs: DataFrame, sets: list[Bitmap]) -> DataFrame:
@@ -162,12 +159,7 @@ def _candidate_counts(docs: DataFrame, sets: list[Bitmap]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                for k, found in counted(part.column(0).to_pylist(), part.column(1).to_pylist(), sets):
-                    columns = [
-                        pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.string()),
-                        pa.array([k] * len(found), pa.int32()), pa.array(list(found.values()), pa.int64()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
+                yield from counted(part.column(0).to_pylist(), part.column(1).to_pylist(), sets)
 
     return docs.select("text", "lang").mapInArrow(run, "lang string, phrase string, k int, n long")
 
