@@ -189,12 +189,13 @@ def exact_nearest(rows, k):
     return out
 
 
-@pytest.mark.parametrize(("probes", "least", "block_rows"), [(32, 1.0, 4_000), (32, 1.0, 5), (6, 0.9, 4_000)])
-def test_nearest_against_brute_force(spark, probes, least, block_rows):
+@pytest.mark.parametrize(("joined", "probes", "least", "block_rows"), [(1, 32, 1.0, 4_000), (2, 1_024, 1.0, 5), (1, 6, 0.9, 4_000), (2, 60, 0.9, 50)])
+def test_nearest_against_brute_force(spark, joined, probes, least, block_rows):
     rows = vector_rows()
     df = spark.createDataFrame(rows, VECTORS)
     got = collections.defaultdict(list)
-    found = crosspolytope.search(df, F.col("vec_id") % 50 == 0, 5, probes=probes, block_rows=block_rows).collect()
+    plan = [(10**9, joined, probes)]
+    found = crosspolytope.search(df, F.col("vec_id") % 50 == 0, 5, plan=plan, block_rows=block_rows, rows_per_salt=20).collect()
     for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
         assert r["rank"] == len(got[r.query_id]) + 1
         got[r.query_id].append((r.vec_id, r.score))
@@ -213,14 +214,15 @@ def test_a_tight_cluster_makes_no_larger_groups(spark, monkeypatch):
     x = rng.normal(size=(1_500, 16))
     x[::3] = x[0] + 0.05 * rng.normal(size=(500, 16))
     rows = [(i, v.tolist(), 0, "", "") for i, v in enumerate(x.astype(np.float32))]
-    score = crosspolytope.best_of_block
+    score = crosspolytope.rerank
 
     def bounded(queries, found, k):
         assert len(queries) <= 100 and len(found) <= 100, (len(queries), len(found))
         return score(queries, found, k)
 
-    monkeypatch.setattr(crosspolytope, "best_of_block", bounded)
-    out = crosspolytope.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 5 == 0, 5, tables=2, probes=32, block_rows=50).collect()
+    monkeypatch.setattr(crosspolytope, "rerank", bounded)
+    frame = spark.createDataFrame(rows, VECTORS)
+    out = crosspolytope.search(frame, F.col("vec_id") % 5 == 0, 5, tables=2, plan=[(10**9, 1, 32)], block_rows=50, rows_per_salt=40).collect()
     got = {(r.query_id, r["rank"]): r.score for r in out}
     assert len(got) == 5 * 300
     for q, near in exact_nearest(rows, 5).items():
@@ -240,12 +242,41 @@ def test_slices_find_the_same(monkeypatch, size):
 
 def test_few_candidates_are_all_found(spark):
     df = spark.createDataFrame([(50 * i, [float(i), 1.0, -2.0], 0, "", "") for i in range(4)], VECTORS)
-    found = crosspolytope.search(df, F.lit(True), 5, tables=1, probes=1).collect()
+    found = crosspolytope.search(df, F.lit(True), 5, tables=1, plan=[(10**9, 1, 1)]).collect()
     assert collections.Counter(r.query_id for r in found) == {0: 3, 50: 3, 100: 3, 150: 3}
     assert crosspolytope.search(df.limit(0), F.lit(True)).count() == 0
     assert crosspolytope.search(df.limit(1), F.lit(True)).count() == 0
 
 
+def test_joined_rotations_score_a_small_share():
+    """Of 50,000 vectors without any structure, the production plan meets 9 in 10 neighbours and few others."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    asked = np.arange(0, 50_000, 1_000)
+    joined, probes = next((j, p) for most, j, p in crosspolytope.PLAN if len(x) <= most)
+    assert joined == 2
+    hit = np.zeros((len(asked), len(x)), dtype=bool)
+    for t in range(crosspolytope.TABLES):
+        filed = np.concatenate([crosspolytope.keys(part, t, joined, 1, crosspolytope.SEED)[:, 0] for part in np.array_split(x, 50)])
+        for i, probed in enumerate(crosspolytope.keys(x[asked], t, joined, probes, crosspolytope.SEED)):
+            hit[i] |= np.isin(filed, probed)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -2
+    near = np.argsort(-score, axis=1)[:, :5]
+    assert np.take_along_axis(hit, near, 1).mean() >= 0.9 and hit.mean() < 0.2
+
+
+def test_best_keys_come_first():
+    x = np.random.default_rng(5).normal(size=(4, 8))
+    for joined in (1, 2):
+        scores = [crosspolytope.axis_scores(x, 3 * joined + r, 9) for r in range(joined)]
+        sums = scores[0] if joined == 1 else (scores[0][:, :, None] + scores[1][:, None, :]).reshape(4, -1)
+        want = np.argsort(-sums, axis=1, kind="stable")[:, :7]
+        assert (crosspolytope.keys(x, 3, joined, 7, 9) == want).all()
+        assert (crosspolytope.keys(x, 3, joined, 1, 9) == want[:, :1]).all()
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 64))
     turned = crosspolytope.axis_scores(x, 3, 9)[:, :64]
@@ -378,6 +409,9 @@ def test_boilerplate_elements_go():
     )
     assert text == "Title One a b 1 2"
     assert wrapper.extract("<b>" * 5_000 + "deep" + "<div>" * 5_000 + "er") == "deep er"
+    nested = "<article><p>first</p>" + "<div>" * 250 + "in<nav>menu <b>x</b></nav><p>side</p>out" + "</div>" * 250 + "<p>last</p></article><p>after</p>"
+    assert wrapper.extract(nested) == "first in side out last"
+    assert wrapper.extract("<div>" * 300 + "<nav>" * 300 + "menu" + "</nav>" * 300 + "kept<br>on" + "</div>" * 300 + "end") == "kept on end"
     assert wrapper.extract("a < b <!-- no --> & \"<p title='x>y'>c") == 'a < b & " c'
 
 

@@ -45,6 +45,7 @@ INSIDE = (0.9, 8)
 # Share of a host's varying text that a container must hold to be where its content is.
 REGION = 0.6
 BROADCAST_BYTES = 32 << 20
+# Nodes below one another; text below that is kept, see ``parse``.
 MAX_DEPTH = 200
 
 # Opening tags of blocks, as far as they tell a stub from a page.
@@ -130,10 +131,29 @@ def _described(tag: str, attributes: str) -> tuple[str, str]:
     return label, ""
 
 
+class _Deep(Node):
+    """An element below MAX_DEPTH: open for its end tag, but what it holds goes to the node above."""
+
+    def __init__(self, node: Node, above: Node):
+        super().__init__(node.tag, node.label, above.kind)
+        self.kids = above.kids
+
+
 def parse(page: str) -> Node:
-    """Tree of a page; forgiving, as browsers are. Nothing is nested deeper than MAX_DEPTH."""
+    """Tree of a page; forgiving, as browsers are.
+
+    Elements nested deeper than MAX_DEPTH are no nodes of their own: their text stands in the node above them,
+    in order, and their end tags end them. What is no content by its tag or names stays a node, so it can go.
+    """
     root = Node("#root")
     stack, at, end = [root], 0, len(page)
+
+    def shut(start: int) -> None:
+        for n in stack[start:]:
+            if isinstance(n, _Deep) and n.tag not in _INLINE:
+                n.kids.append(" ")
+        del stack[start:]
+
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -142,7 +162,7 @@ def parse(page: str) -> Node:
             tag = closing.lower()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    shut(i)
                     break
             else:
                 if tag == "br":
@@ -152,7 +172,7 @@ def parse(page: str) -> Node:
             if tag in _CLOSES_P:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == "p":
-                        del stack[i:]
+                        shut(i)
                         break
                     if stack[i].tag not in _INLINE:
                         break
@@ -162,18 +182,23 @@ def parse(page: str) -> Node:
                     if stack[i].tag in holders:
                         break
                     if stack[i].tag in ends:
-                        del stack[i:]
+                        shut(i)
                         if tag not in ("tr", "tbody"):
                             break
             if tag == "br":
                 stack[-1].kids.append(" ")
                 continue
-            node = Node(tag, *_described(tag, attributes or ""))
-            stack[-1].kids.append(node)
+            node, above = Node(tag, *_described(tag, attributes or "")), stack[-1]
+            if len(stack) >= MAX_DEPTH and tag not in _VOID and tag not in _RAW and (above.kind or not node.kind):
+                if tag not in _INLINE:
+                    above.kids.append(" ")
+                stack.append(_Deep(node, above))
+                continue
+            above.kids.append(node)
             if tag in _RAW and not (attributes or "").rstrip().endswith("/"):
                 close = re.compile(rf"</{tag}[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = close.end() if close else end
-            elif tag not in _VOID and len(stack) < MAX_DEPTH:
+            elif tag not in _VOID:
                 stack.append(node)
         elif m[0][:2] not in ("<!", "<?"):
             stack[-1].kids.append(entities.unescape(m[0]))
