@@ -12,7 +12,11 @@ where they overlap. A row holds:
 * ``symbols``: the block's symbols; ``every``: tokens before each 1,024th symbol (unsigned 64-bit);
 * ``doc_ids``, ``doc_tokens``: the block's documents and their token counts; ``n_tokens``: their sum.
 
-``decode_range`` expands only the symbols that a range touches. All numbers are little-endian.
+``decode_range`` follows the lengths of rules down to the tokens of a range and expands nothing else. All
+numbers are little-endian.
+
+A block's grammar ends where no pair occurs ``MIN_COUNT`` times, where a round would shorten the block by no
+more than ``MIN_GAIN``, or where the symbols of two bytes are used up.
 
 Scale: documents are range-partitioned by doc_id; a task holds a block at a time, which is bounded by
 ``block_tokens`` and its last document. Positions before a block are sums over parts, then blocks.
@@ -80,7 +84,14 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT, max_rules: int | None
         here = np.zeros(len(s) + 1, dtype=np.int32)
         here[at + 1] = rank[group]
         own = here[1:-1]
-        at = np.flatnonzero((own > here[:-2]) & (own >= here[2:]))
+        # A pair of one symbol may overlap itself: of such a run every other place is taken.
+        again = (own == here[:-2]) & (own > 0)
+        if again.any():
+            number = np.arange(len(own))
+            run = np.maximum.accumulate(np.where(again, 0, number))
+            at = np.flatnonzero((own > 0) & ((number - run) % 2 == 0) & (own >= here[:-2]) & (own >= here[2:]))
+        else:
+            at = np.flatnonzero((own > here[:-2]) & (own >= here[2:]))
         if len(at) <= MIN_GAIN * len(s):
             break
         used, first, new = np.unique(len(full) - own[at], return_index=True, return_inverse=True)
@@ -123,6 +134,8 @@ class Block:
         self.rule_tokens = np.frombuffer(row["rule_tokens"], dtype="<u4")
         self.symbols = np.frombuffer(row["symbols"], dtype=f"<u{row['width']}")
         self.every = np.frombuffer(row["every"], dtype="<u8")
+        # Rules that the last range has opened.
+        self.opened = 0
 
     def decode(self) -> np.ndarray:
         return expand(self.symbols, self.base, self.rules)
@@ -139,7 +152,28 @@ class Block:
         a = int(np.searchsorted(ends, start, side="right"))
         b = int(np.searchsorted(ends, start + n, side="left")) + 1
         before = int(ends[a - 1]) if a else int(self.every[first])
-        return expand(some[a:b], self.base, self.rules)[start - before : start - before + n]
+        return self._spell(some[a:b], start - before, n)
+
+    def _spell(self, symbols: np.ndarray, skip: int, n: int) -> np.ndarray:
+        """``n`` tokens of some symbols after the first ``skip``: rules outside of the range stay closed."""
+        out, stack = [], symbols[::-1].astype(np.int64).tolist()
+        self.opened = 0
+        while stack and len(out) < n:
+            symbol = stack.pop()
+            if symbol < self.base:
+                if skip:
+                    skip -= 1
+                else:
+                    out.append(symbol)
+                continue
+            size = int(self.rule_tokens[symbol - self.base])
+            if skip >= size:
+                skip -= size
+                continue
+            self.opened += 1
+            left, right = self.rules[symbol - self.base].tolist()
+            stack += [right, left]
+        return np.array(out, dtype=np.uint32)
 
 
 def _symbol_tokens(symbols: np.ndarray, base: int, rule_tokens: np.ndarray) -> np.ndarray:
