@@ -1,5 +1,6 @@
 """Operators that judge, count, shuffle or encode documents, against brute force."""
 
+import base64
 import collections
 import math
 import re
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import tiktoken
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,6 +68,27 @@ def test_texts_without_spaces_are_not_remembered(name):
     assert max(map(len, model.store), default=0) <= unigram.LONGEST_CHUNK
 
 
+@pytest.mark.parametrize("pattern", [[7], [1, 2, 3], [5, 5, 6], [1, 1, 1, 2]])
+def test_repeats_compress(pattern):
+    """Runs and periodic texts shrink to under a hundredth, also where a pair overlaps itself."""
+    ids = np.array(pattern * (300_000 // len(pattern)), dtype=np.uint32)
+    base, rules, tokens, symbols = repair.compress(ids)
+    assert len(symbols) + 2 * len(rules) < 0.01 * len(ids)
+    assert (repair.expand(symbols, base, rules) == ids).all()
+
+
+def test_a_range_opens_few_rules():
+    rng = np.random.default_rng(4)
+    ids = np.concatenate([np.tile(rng.integers(0, 500, 200), 40) for _ in range(50)])
+    packed = ids.astype("<u4").tobytes()
+    block = repair.Block(repair._row(0, 0, [1], [packed]))
+    assert len(block.rules) > 100
+    for start, n in ((0, 10), (123_456, 10), (399_990, 50), (77, 3_000), (5, 0)):
+        assert block.decode_range(start, n).tolist() == ids[start : start + n].tolist()
+        if n == 10:
+            assert block.opened < 60
+
+
 # Quality rules
 
 
@@ -90,6 +113,9 @@ def test_quality_figures_and_verdict(spark, messy, messy_rows, empty):
     rows = got.collect()
     assert len(rows) == len(messy_rows)
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
     for r in rows:
         text = r.text or ""
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_measures(text)
@@ -100,7 +126,18 @@ def test_quality_figures_and_verdict(spark, messy, messy_rows, empty):
             assert r.piece_chars == pytest.approx(r.word_chars / len(ids))
             assert r.piece_fallback == pytest.approx(np.mean([model.is_byte(i) for i in ids]))
             assert r.piece_entropy == pytest.approx(entropy)
-        assert not (r.base_failed and r.kept)
+        tokens = [i for w in re.findall(r"[^\x20\x09-\x0D]+", text) for i in ranks.encode_ordinary(" " + w)]
+        if tokens:
+            p = np.array(list(collections.Counter(tokens).values())) / len(tokens)
+            entropy = -(p * np.log2(p)).sum() / math.log2(min(len(tokens), 256)) if len(tokens) > 1 else 0
+            broken = [ranks.decode_single_token_bytes(i).decode("utf-8", "replace").encode() != ranks.decode_single_token_bytes(i) for i in tokens]
+            assert (r.byte_chars, r.byte_fallback) == pytest.approx((r.word_chars / len(tokens), np.mean(broken)))
+            assert r.byte_entropy == pytest.approx(entropy)
+        band = fertility.BANDS[r.lang if r.lang in fertility.BANDS else fertility.script_of(text)]
+        inside = band.piece_chars[0] <= r.piece_chars <= band.piece_chars[1] and band.byte_chars[0] <= r.byte_chars <= band.byte_chars[1]
+        inside = inside and r.piece_fallback <= band.fallback_share and r.byte_fallback <= band.byte_share
+        inside = inside and all(band.entropy[0] <= e <= band.entropy[1] for e in (r.piece_entropy, r.byte_entropy))
+        assert r.kept == (not r.base_failed and inside)
     assert fertility.quality(empty, *fertility_files()).count() == 0
 
 

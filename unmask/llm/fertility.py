@@ -41,23 +41,25 @@ class Band:
     piece_chars: tuple[float, float]
     byte_chars: tuple[float, float]
     fallback_share: float
+    byte_share: float
     entropy: tuple[float, float] = (0.70, 2.0)
 
 
 # Bands by language, then by script for other languages. Pieces of the first vocabulary are mostly
-# Latin; scripts it spells in bytes have wide bands, where entropy and length still tell.
+# Latin; scripts it spells in bytes have wide bands, where the second vocabulary, which knows more scripts,
+# bounds the share of bytes, and entropy and length still tell.
 BANDS = {
-    "en": Band((1.70, 8.0), (1.95, 9.0), 0.10),
-    "de": Band((1.95, 8.0), (2.00, 9.0), 0.10),
-    "fr": Band((1.60, 8.0), (1.80, 9.0), 0.10),
-    "es": Band((1.70, 8.0), (1.85, 9.0), 0.10),
-    "Latin": Band((1.3, 9.0), (1.3, 10.0), 0.20),
-    "Greek": Band((0.5, 6.0), (0.5, 8.0), 0.60),
-    "Cyrillic": Band((0.8, 7.0), (0.8, 9.0), 0.40),
-    "Han": Band((0.3, 3.0), (0.3, 5.0), 1.00),
-    "Kana": Band((0.3, 3.0), (0.3, 5.0), 1.00),
-    "Hangul": Band((0.3, 3.0), (0.3, 5.0), 1.00),
-    "other": Band((0.25, 9.0), (0.25, 10.0), 1.00),
+    "en": Band((1.70, 8.0), (1.95, 9.0), 0.10, 0.10),
+    "de": Band((1.95, 8.0), (2.00, 9.0), 0.10, 0.10),
+    "fr": Band((1.60, 8.0), (1.80, 9.0), 0.10, 0.10),
+    "es": Band((1.70, 8.0), (1.85, 9.0), 0.10, 0.10),
+    "Latin": Band((1.3, 9.0), (1.3, 10.0), 0.20, 0.20),
+    "Greek": Band((0.5, 6.0), (0.5, 8.0), 0.60, 0.30),
+    "Cyrillic": Band((0.8, 7.0), (0.8, 9.0), 0.40, 0.20),
+    "Han": Band((0.3, 3.0), (0.3, 5.0), 1.00, 0.60),
+    "Kana": Band((0.3, 3.0), (0.3, 5.0), 1.00, 0.60),
+    "Hangul": Band((0.3, 3.0), (0.3, 5.0), 1.00, 0.60),
+    "other": Band((0.25, 9.0), (0.25, 10.0), 1.00, 0.80),
 }
 # First code points of the blocks that tell scripts apart.
 _BLOCKS = [
@@ -177,11 +179,12 @@ def figures(ids: np.ndarray, fallback: np.ndarray, chars: int) -> tuple[float, f
 
 
 def within(band: Band, piece: tuple, byte: tuple) -> bool:
-    (p_chars, p_share, p_entropy), (b_chars, _, b_entropy) = piece, byte
+    (p_chars, p_share, p_entropy), (b_chars, b_share, b_entropy) = piece, byte
     return (
         band.piece_chars[0] <= p_chars <= band.piece_chars[1]
         and band.byte_chars[0] <= b_chars <= band.byte_chars[1]
         and p_share <= band.fallback_share
+        and b_share <= band.byte_share
         and all(band.entropy[0] <= e <= band.entropy[1] + 1e-9 for e in (p_entropy, b_entropy))
     )
 
