@@ -1,9 +1,11 @@
 """Term weights, vectors and classifiers on small data."""
 
+import hashlib
 import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from unmask.functions import text as tx
@@ -89,3 +91,27 @@ def test_split_is_stable(spark):
     a = classify.split_by_key(df, "id").filter("split = 'test'").count()
     b = classify.split_by_key(df.repartition(7), "id").filter("split = 'test'").count()
     assert a == b and 250 < a < 420
+
+
+def test_boosting_tells_held_out_rows(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.random(), rnd.random(), rnd.random()) for i in range(900)]
+    kind = F.when((F.col("x") > 0.5) & (F.col("y") > 0.4), "a").when(F.col("x") + F.col("y") < 0.6, "b").otherwise("c")
+    df = classify.split_by_key(spark.createDataFrame(rows, "id long, x double, y double, z double").withColumn("kind", kind), "id")
+    features = F.array("x", "y", "z")
+    model = classify.boosted_model(df.filter("split = 'train'"), "kind", features, rounds=10)
+    told = classify.predict(model, df.filter("split = 'test'"), "id", features, ["kind"])
+    assert told.select(F.avg((F.col("kind") == F.col("predicted")).cast("double"))).first()[0] > 0.9
+
+
+def test_unseen_words_are_near_their_pieces(spark):
+    vectors = spark.createDataFrame(
+        [("walking", 5, [1.0, 0.0, 0.0]), ("walked", 3, [0.9, 0.1, 0.0]), ("stone", 9, [0.0, 0.0, 1.0])], "term string, n long, vector array<double>"
+    )
+    words = spark.createDataFrame([("walker",), ("stones",), ("zz",), ("walker",)], "w string")
+    got = {r["term"]: r["vector"] for r in semantic.spelled_vectors(words, "w", semantic.subword_vectors(vectors)).collect()}
+    assert set(got) == {"walker", "stones"}
+    assert got["stones"] == pytest.approx([0, 0, 1]) and got["walker"][0] > 0.8
+    pieces = {r["piece"]: r["vector"] for r in semantic.subword_vectors(vectors).collect()}
+    digest = lambda p: int(hashlib.md5(p.encode()).hexdigest()[:8], 16) % semantic.SUBWORD_PLACES
+    assert pieces[digest("<wal")] == pytest.approx([(5 * 1 + 3 * 0.9) / 8, 3 * 0.1 / 8, 0])

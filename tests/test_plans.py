@@ -4,6 +4,7 @@ import os
 import pathlib
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -19,14 +20,31 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["knn_structural", "exact_text_match", "fuzzy_name_join", "trigram_match", "match_assembly", "new_items_promo"])
-def test_no_cartesian_product_and_no_row_wise_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, FOLDER))
-    assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "BroadcastNestedLoopJoin" not in plan
+SEARCHES = [
+    "knn_structural", "nightly_nominals", "tfidf_with_structure", "exact_text_match", "fuzzy_name_join", "token_set_join",
+    "weighted_name_join", "trigram_match", "match_assembly", "new_items_promo", "kept_up_latest", "categorical_nb", "similar_words",
+]
+
+
+@pytest.mark.parametrize("name", SEARCHES)
+def test_no_cartesian_product_and_no_row_wise_python(spark, name, monkeypatch):
+    """In the plan of every table written on the way, and in the last one."""
+    plans = []
+    write = DataFrameWriter.parquet
+
+    def seen(self, *args, **kwargs):
+        plans.append(plan_of(self._df))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    plans.append(plan_of(entry.queries()[name](spark, FOLDER)))
+    for plan in plans:
+        assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_core_has_no_shortcuts():
-    for path in (ROOT / "unmask").rglob("*.py"):
+    pipeline = ROOT / "corpus_pipeline.py"
+    for path in [*(ROOT / "unmask").rglob("*.py"), *([pipeline] if pipeline.exists() else [])]:
         text = path.read_text()
         for banned in ("crossJoin", "localCheckpoint", "toPandas", "F.udf("):
             assert banned not in text, (path, banned)

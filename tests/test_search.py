@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,6 +221,38 @@ def test_fuzzy_join_lists_best_first(spark):
         fuzzy.fuzzy_join(left, "n", right, "n", 20)
 
 
+def words_of(name):
+    return [w for w in re.split(r"[^a-z0-9]+", name.lower()) if w]
+
+
+@pytest.mark.parametrize("threshold", [90, 75])
+def test_token_scorers_are_complete(spark, threshold):
+    rnd = random.Random(threshold)
+    vocabulary = ["the", "old", "red", "shiraz", "reserve", "estate", "barossa", "valley", "x", "2019"]
+    names = [" ".join(rnd.sample(vocabulary, rnd.randint(1, 6))) for _ in range(60)]
+    left, right = names[:30] + ["", "Red, OLD the", "--"], [n.title() + rnd.choice(["", "!", " old old", "s"]) for n in names] + ["the old red"]
+    frames = [spark.createDataFrame([(x,) for x in side], "n string") for side in (left, right)]
+    ratio = lambda a, b: math.floor(100 * (1 - levenshtein(a, b) / max(len(a), len(b))) + 0.5 + 1e-9)
+    want = {s: {} for s in ("token_sort", "token_set", "weighted")}
+    for a in set(left):
+        for b in set(right):
+            wa, wb = words_of(a), words_of(b)
+            plain, sort, both = ratio(a, b) if a and b else 0, 0, 0
+            if wa and wb:
+                sort = ratio(" ".join(sorted(wa)), " ".join(sorted(wb)))
+                size = lambda w: sum(map(len, w))
+                both = math.floor(100 * size(set(wa) & set(wb)) / min(size(set(wa)), size(set(wb))) + 0.5)
+            best = max(plain, math.floor(sort * 0.95 + 0.5), math.floor(both * 0.95 + 0.5))
+            for name, score in (("token_sort", sort), ("token_set", both), ("weighted", best)):
+                if score >= threshold:
+                    want[name][a, b] = score
+    for scorer in want:
+        got = fuzzy.scored_pairs(frames[0], "n", frames[1], "n", threshold, scorer).collect()
+        assert {(r["left_name"], r["right_name"]): r["score"] for r in got} == want[scorer], scorer
+    with pytest.raises(ValueError):
+        fuzzy.scored_pairs(frames[0], "n", frames[1], "n", threshold, "other")
+
+
 TEXTS = "stockcode string, mystery boolean, rich_description string, web_description_short string, review1_text string, review2_text string"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -87,6 +87,18 @@ def forest_model(train: DataFrame, label: str, features: Column, trees: int = 20
     return PipelineModel([forest.fit(indexed), IndexToString(inputCol="_p", outputCol="predicted", labels=labels)])
 
 
+def boosted_model(train: DataFrame, label: str, features: Column, rounds: int = 20, depth: int = 4, bins: int = 32) -> PipelineModel:
+    """Boosted trees, one class against the rest at a time; the label is an attribute with few values.
+
+    Every round fits a tree to what the rounds before it left, over all rows; the model holds the trees alone.
+    """
+    indexed, labels = _indexed(train, label)
+    indexed = durable(indexed.select(array_to_vector(features).alias("_x"), "_y"), "boosting-rows")
+    boosting = GBTClassifier(featuresCol="_x", labelCol="_y", maxIter=rounds, maxDepth=depth, maxBins=bins, stepSize=0.3, seed=SPLIT_SEED)
+    rest = OneVsRest(classifier=boosting, featuresCol="_x", labelCol="_y", predictionCol="_p")
+    return PipelineModel([rest.fit(indexed), IndexToString(inputCol="_p", outputCol="predicted", labels=labels)])
+
+
 def predict(model: PipelineModel, df: DataFrame, key: str, features: Column, keep: list[str] | None = None) -> DataFrame:
     out = model.transform(df.withColumn("_x", array_to_vector(features)))
     return out.select(key, *(keep or []), "predicted")

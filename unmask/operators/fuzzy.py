@@ -8,6 +8,8 @@ grams: the join runs on those rare grams only and checks the distance inside the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,3 +114,86 @@ def fuzzy_join(
     )
     out = left.join(listed, left[left_key] == listed["left_name"], "left").drop("left_name")
     return out.withColumn("matches", F.coalesce("matches", F.lit("")))
+
+
+# Fixed value: what a score of rearranged words counts beside one of the names as they are.
+TOKEN_SHARE = 0.95
+SCORERS = ("ratio", "token_sort", "token_set", "weighted")
+
+
+def _tokens(name: Column) -> Column:
+    """Distinct words of a name, in order."""
+    return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(name), r"[^\p{L}\p{N}]+"), lambda w: w != "")))
+
+
+def token_sort_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str, threshold: int, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(left_name, right_name, score): pairs whose sorted words reach the threshold by edit distance."""
+
+    def sides(df: DataFrame, key: str, label: str) -> DataFrame:
+        words = F.filter(F.split(F.lower(F.col(key)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+        out = df.select(F.col(key).alias(label), F.array_join(F.array_sort(words), " ").alias("sorted"))
+        return durable(out.filter("sorted <> ''").distinct(), "sorted-names")
+
+    lefts, rights = sides(left, left_key, "left_name"), sides(right, right_key, "right_name")
+    pairs = fuzzy_pairs(lefts, "sorted", rights, "sorted", threshold, rows_per_salt)
+    pairs = pairs.select(F.col("left_name").alias("x"), F.col("right_name").alias("y"), "score")
+    out = pairs.join(lefts, F.col("x") == F.col("sorted")).drop("sorted")
+    return out.join(rights, F.col("y") == F.col("sorted")).select("left_name", "right_name", "score")
+
+
+def token_set_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str, threshold: int, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(left_name, right_name, score): pairs where shared words spell enough of one of the names.
+
+    The score is 100 times the characters of the shared words, by those of the shorter spelled set. A pair that
+    reaches the threshold shares a word of the shorter side's rarest ones, which are as many as spell more than
+    the rest that may be missing; so those words are joined, with all words of the other side.
+    """
+
+    def sides(df: DataFrame, key: str, label: str) -> DataFrame:
+        out = df.select(F.col(key).alias(label), _tokens(F.col(key)).alias("words")).filter(F.size("words") > 0)
+        size = F.aggregate("words", F.lit(0), lambda s, w: s + F.length(w))
+        return durable(out.distinct().withColumn("size", size), "token-sets")
+
+    lefts, rights = sides(left, left_key, "left_name"), sides(right, right_key, "right_name")
+    share = (100.5 - threshold) / 100.0
+    words = [side.select(label, "words", "size", F.explode("words").alias("word")) for side, label in ((lefts, "left_name"), (rights, "right_name"))]
+    counts = durable(reduce(DataFrame.unionByName, [w.select("word") for w in words]).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+
+    def rarest(rows: DataFrame, label: str) -> DataFrame:
+        order = Window.partitionBy(label).orderBy("n", "word").rowsBetween(Window.unboundedPreceding, -1)
+        earlier = F.coalesce(F.sum(F.length("word")).over(order), F.lit(0))
+        return rows.join(counts, "word").withColumn("earlier", earlier).filter(F.col("earlier") <= F.lit(share) * F.col("size")).drop("earlier", "n")
+
+    def met(few: DataFrame, all_: DataFrame, few_label: str, all_label: str) -> DataFrame:
+        few = few.select("word", few_label, F.col("words").alias("few"), F.col("size").alias("few_size"))
+        all_ = durable(all_.select("word", all_label, F.col("words").alias("many"), F.col("size").alias("many_size")), "words")
+        salted = salted_keys(all_.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word", "n", rows_per_salt)
+        pairs = salted_join(few, all_, "word", salted, all_label, F.col("few_size") <= F.col("many_size"), rows_per_salt)
+        shared = F.aggregate(F.array_intersect("few", "many"), F.lit(0), lambda s, w: s + F.length(w))
+        score = F.round(F.lit(100.0) * shared / F.col("few_size")).cast("int")
+        return pairs.select("left_name", "right_name", score.alias("score")).filter(F.col("score") >= threshold)
+
+    both = met(rarest(words[0], "left_name"), words[1], "left_name", "right_name")
+    both = both.unionByName(met(rarest(words[1], "right_name"), words[0], "right_name", "left_name"))
+    return both.groupBy("left_name", "right_name").agg(F.max("score").alias("score"))
+
+
+def scored_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str, threshold: int, scorer: str = "weighted") -> DataFrame:
+    """(left_name, right_name, score): pairs that reach the threshold under a scorer.
+
+    ``weighted`` is the best of the edit score and ``TOKEN_SHARE`` of the two token scores, rounded.
+    """
+    if scorer not in SCORERS:
+        raise ValueError(f"scorer must be one of {SCORERS}")
+    args = (left, left_key, right, right_key)
+    single = {"ratio": fuzzy_pairs, "token_sort": token_sort_pairs, "token_set": token_set_pairs}
+    if scorer in single:
+        return single[scorer](*args, threshold)
+    # A token score counts less, so it has to be higher for the same threshold.
+    needed = -int(-(threshold - 0.5) / TOKEN_SHARE // 1)
+    parts = [fuzzy_pairs(*args, threshold)]
+    if needed <= 100:
+        lower = F.round(F.col("score") * TOKEN_SHARE).cast("int").alias("score")
+        parts += [f(*args, needed).select("left_name", "right_name", lower) for f in (token_sort_pairs, token_set_pairs)]
+    best = reduce(DataFrame.unionByName, parts).groupBy("left_name", "right_name").agg(F.max("score").alias("score"))
+    return best.filter(F.col("score") >= threshold)

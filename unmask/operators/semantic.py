@@ -19,6 +19,11 @@ VECTOR_SIZE = 100
 WINDOW = 10
 MIN_COUNT = 5
 SCORE_DIGITS = 6
+# Lengths of the pieces that spell a word, and the places they are hashed to.
+SUBWORDS = (3, 5)
+SUBWORD_PLACES = 1 << 15
+# Word vectors up to which they are broadcast: 800 bytes each.
+BROADCAST_TERMS = 40_000
 
 
 def word_vectors(
@@ -69,6 +74,32 @@ def similar_words(vectors: DataFrame, word: str, n: int = 10, restrict_vocab: in
     return cosine_top_k(others, "term", "vector", own["vector"] if own else [0.0] * VECTOR_SIZE, n)
 
 
+def _subwords(term: Column, lengths: tuple[int, int], places: int) -> Column:
+    """Places of a word's distinct pieces; its ends are marked, so a beginning differs from a middle."""
+    marked = F.concat(F.lit("<"), term, F.lit(">"))
+
+    def pieces(text: Column, n: int) -> Column:
+        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, n))).otherwise(F.array().cast("array<string>"))
+
+    found = F.array_distinct(F.flatten(F.transform(F.array(marked), lambda t: F.concat(*[pieces(t, n) for n in range(lengths[0], lengths[1] + 1)]))))
+    return F.transform(found, lambda p: F.conv(F.substring(F.md5(p), 1, 8), 16, 10).cast("bigint") % places)
+
+
+def subword_vectors(vectors: DataFrame, lengths: tuple[int, int] = SUBWORDS, places: int = SUBWORD_PLACES) -> DataFrame:
+    """(piece, vector): what the words that hold a piece of 3 to 5 characters mean on average, by their counts.
+
+    Pieces are hashed to a fixed number of places, so the table has one size whatever the vocabulary.
+    """
+    pieces = vectors.select("n", "vector", F.explode(_subwords(F.col("term"), lengths, places)).alias("piece"))
+    return vector_mean(pieces, ["piece"], "vector", F.col("n").cast("double"))
+
+
+def spelled_vectors(words: DataFrame, term: str, subwords: DataFrame, lengths: tuple[int, int] = SUBWORDS, places: int = SUBWORD_PLACES) -> DataFrame:
+    """(term, vector): vectors of any words, seen or not, as the mean of their known pieces; none without one."""
+    pieces = words.select(F.col(term).alias("term")).distinct().select("term", F.explode(_subwords(F.col("term"), lengths, places)).alias("piece"))
+    return vector_mean(pieces.join(subwords, "piece"), ["term"], "vector")
+
+
 def vector_mean(df: DataFrame, group: list[str], vector: str, weight: Column | None = None) -> DataFrame:
     """Mean vector per group, combined on the map side."""
     kind = Summarizer.metrics("mean")
@@ -83,6 +114,8 @@ def document_vectors(df: DataFrame, key: str, text: str, vectors: DataFrame) ->
     Documents without any known word have no vector.
     """
     counts = durable(weights.term_counts(df, key, tx.ascii_words(F.col(text))), "word-counts")
+    # Vectors are copied to the tasks while they are few, which is counted; else the join moves both sides.
+    vectors = F.broadcast(vectors) if vectors.count() <= BROADCAST_TERMS else vectors
     weighted = weights.bm25(counts).join(vectors, "term")
     scaled = weighted.withColumn("vector", F.transform("vector", lambda x: x * F.col("weight")))
     return vector_mean(scaled, ["id"], "vector", F.col("tf").cast("double"))

@@ -290,3 +290,22 @@ def stream_match(spark, folder):
 
     ingest.match_new_files(stream, known, match, target, checkpoint)
     return spark.read.parquet(target).select("stockcode_x", "stockcode_y", "method", "n_known", "match_key")
+
+
+@query(
+    "first_seen_restarted",
+    """select user_id || '_' || json_extract_string(props, '$.k') as code,
+         min(case when ts < timestamp '2024-01-16' then 'early' else 'late' end) as landed from events group by 1""",
+)
+def first_seen_restarted(spark, folder):
+    """First rows of every code over two runs of one stream: files land between them, the state goes on."""
+    code = F.concat(F.col("user_id").cast("string"), F.lit("_"), F.get_json_object("props", "$.k")).alias("code")
+    rows = table(spark, folder, "events").select(code, F.col("ts").cast("timestamp").alias("ts"))
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    rows = rows.withColumn("landed", F.when(early, "early").otherwise("late"))
+    path = {name: scratch_path(spark, name) for name in ("landed", "first-seen", "checkpoint")}
+    for part in ("early", "late"):
+        rows.filter(F.col("landed") == part).write.mode("append").parquet(path["landed"])
+        stream = ingest.landed_files(spark, path["landed"], rows.schema, "parquet")
+        ingest.keep_first_seen(stream, "code", "ts", "3650 days", path["first-seen"], path["checkpoint"])
+    return spark.read.parquet(path["first-seen"]).select("code", "landed")

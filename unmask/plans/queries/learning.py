@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from unmask.functions import text as tx
 from unmask.operators import classify, profile, semantic
 from unmask.plans.queries.registry import query
 from unmask.plans.standins import documents, table
@@ -124,6 +125,43 @@ def similar_frequent_words(spark, folder):
     return semantic.similar_words(vectors, word, 10, restrict_vocab=200).withColumn("cosine", F.round("cosine", 4))
 
 
+@query(
+    "unseen_words",
+    f"""with {WORDS_SQL},
+    cut as (
+      select term, '<' || term || '>' as t from (select term from frequent where term in (select term from vectors)
+      union select distinct unnest(list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'), lambda w: regexp_full_match(w, '[a-z0-9_]+'))) from benchmark)),
+    pieces as materialized (
+      select term, ('0x' || substr(md5(g), 1, 8))::bigint % 32768 as piece
+      from (select distinct term, substr(t, i, k) as g from (select term, t, k, unnest(range(1, length(t) - k + 2)) as i from cut, (select unnest([3, 4, 5]) as k) where length(t) >= k))),
+    weights as materialized (select piece, sum(n)::double as n from pieces join frequent using (term) where term in (select term from vectors) group by piece),
+    sums as materialized (
+      select piece, place, sum(n * x) as x from pieces join frequent using (term) join vectors using (term) group by all),
+    unseen as (select distinct term from pieces where term not in (select term from vectors)),
+    known_pieces as (select term, piece, n from unseen join pieces using (term) join weights using (piece)),
+    sizes as (select term, count(*)::double as many from known_pieces group by term),
+    spelled as materialized (
+      select term, place, sum(x / n) / any_value(many) as x from known_pieces join sums using (piece) join sizes using (term) group by all),
+    near_words as (select term from frequent where term in (select term from vectors) order by n desc, term limit 500),
+    near as materialized (select term, place, x from vectors where term in (select term from near_words)),
+    dots as (select a.term, b.term as other, sum(a.x * b.x) as dot from spelled a join near b using (place) group by all),
+    cosines as (
+      select term, other, dot / (p.norm * q.norm) as c from dots join (select term, sqrt(sum(x * x)) as norm from spelled group by term) p using (term)
+      join (select term as other, sqrt(sum(x * x)) as norm from near group by term) q using (other) where p.norm > 0 and q.norm > 0)
+    select term, other, round(c, 4) as cosine from cosines qualify row_number() over (partition by term order by round(c, 6) desc, other) = 1""",
+)
+def unseen_words(spark, folder):
+    """For each benchmark word that has no vector of its own, the nearest of the 500 most frequent words, by its pieces."""
+    vectors = _word_vectors(spark, folder)
+    asked = table(spark, folder, "benchmark").select(F.explode(tx.ascii_words(F.col("text"))).alias("term")).distinct()
+    unseen = asked.join(vectors.select("term"), "term", "left_anti")
+    subwords = durable(semantic.subword_vectors(vectors), "subwords")
+    spelled = durable(semantic.spelled_vectors(unseen, "term", subwords), "spelled")
+    frequent = vectors.orderBy(F.desc("n"), "term").limit(500).select(F.col("term").alias("other"), "vector")
+    found = semantic.cosine_top_k_many(frequent, "other", "vector", spelled, "term", "vector", 1)
+    return found.select("term", "other", F.round("cosine", 4).alias("cosine"))
+
+
 @query(
     "semantic_search",
     f"""with {WORDS_SQL},
@@ -262,3 +300,23 @@ def tree_classifier(spark, folder):
     path = scratch_path(spark, "model")
     writers.save_model(classify.forest_model(part, "size_class", features, trees=1, bins=64), path)
     return classify.predict(readers.load_model(path), part, "p_partkey", features, ["size_class"])
+
+
+@query(
+    "boosted_trees",
+    """
+    with x as (
+      select p_partkey, case when p_size > 25 and p_retailprice * 10 % 100 >= 50 then 'both' when p_size > 25 or p_retailprice * 10 % 100 >= 50 then 'one' else 'none' end as kind,
+        ('0x' || substr(md5('7:' || p_partkey), 1, 8))::bigint % 100 < 33 as held_out from part)
+    select kind, count(*) as n_held_out, true as accurate from x where held_out group by kind""",
+)
+def boosted_trees(spark, folder):
+    """A class that two columns decide together, learned on the train rows; is it told on 95 of 100 held-out rows of each class?"""
+    size, tail = F.col("p_size"), F.col("p_retailprice") * 10 % 100
+    kind = F.when((size > 25) & (tail >= 50), "both").when((size > 25) | (tail >= 50), "one").otherwise("none")
+    part = classify.split_by_key(table(spark, folder, "part").withColumn("kind", kind), "p_partkey")
+    features = F.array(size.cast("double"), tail.cast("double"), F.col("p_partkey").cast("double"))
+    model = classify.boosted_model(part.filter("split = 'train'"), "kind", features, rounds=12, depth=3, bins=64)
+    told = classify.predict(model, part.filter("split = 'test'"), "p_partkey", features, ["kind"])
+    share = F.avg((F.col("kind") == F.col("predicted")).cast("double"))
+    return told.groupBy("kind").agg(F.count(F.lit(1)).alias("n_held_out"), (share >= 0.95).alias("accurate"))

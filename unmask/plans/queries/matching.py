@@ -236,7 +236,7 @@ NIGHTLY = nightly.MatchSettings(
 )
 
 
-def _nightly(spark, folder):
+def _loads(spark, folder):
     """Two loads of the parts; the older one has other prices and no texts."""
     now = part_catalogue(spark, folder).withColumns(
         {
@@ -249,7 +249,7 @@ def _nightly(spark, folder):
     before = now.withColumns(
         {"load_ts": F.lit("2024-05-01 04:00:00").cast("timestamp"), "price": F.col("price") + 1, "rich_description": blank, "review1_text": blank}
     )
-    return nightly.nightly_matches(before.unionByName(now), NIGHTLY)
+    return before.unionByName(now)
 
 
 @query(
@@ -266,7 +266,7 @@ def _nightly(spark, folder):
 )
 def nightly_match(spark, folder):
     """The whole nightly run: newest load, structural and text matches in one table with savings."""
-    return _nightly(spark, folder)[0]
+    return nightly.nightly_matches(_loads(spark, folder), NIGHTLY)[0]
 
 
 @query(
@@ -276,7 +276,40 @@ def nightly_match(spark, folder):
     where not mystery and (method, match_key) in (select (method, match_key) from texts where mystery)""",
 )
 def nightly_members(spark, folder):
-    return _nightly(spark, folder)[1]
+    return nightly.known_members(_loads(spark, folder), NIGHTLY)
+
+
+# The nominals of a product, filled from the parts: some attributes are often missing.
+WIDE_NOMINALS = {
+    name: f"case when p_size % {i + 2} <> 0 then substr(p_brand, 7) || '{i}' end" if i % 3 else f"substr(p_name, {i // 3 + 1}, 2) || p_size % {i + 2}"
+    for i, name in enumerate(nightly.NOMINALS)
+}
+WIDE_SQL = ", ".join(f"{sql} as {name}" for name, sql in WIDE_NOMINALS.items())
+WIDE_COST = " + ".join(
+    f"(case when a.{c} is not distinct from b.{c} then 0 when a.{c} is null or b.{c} is null then 1 else 2 end)" for c in WIDE_NOMINALS
+)
+
+
+@query(
+    "nightly_nominals",
+    f"""with c as (
+      select p_partkey::varchar as stockcode, contains(p_name, 'widget') as mystery, p_retailprice % 50 as price, (p_size <= 40)::int as avail, {WIDE_SQL} from part),
+    pairs as (
+      select a.stockcode as stockcode_x, b.stockcode as stockcode_y,
+        round(sqrt(power(a.price - b.price, 2) + power(a.avail - b.avail, 2) + {WIDE_COST}), 6) as distance
+      from c a, c b where a.mystery and not b.mystery)
+    select stockcode_x, stockcode_y, distance, case when distance < 1.8 then 'Good' else 'Poor' end as match_level, 'KNN' as method
+    from pairs qualify row_number() over (partition by stockcode_x order by distance, stockcode_y) = 1""",
+)
+def nightly_nominals(spark, folder):
+    """The nearest known product by the nightly run's two numerics and all its 24 nominals."""
+    price, avail = nightly.NUMERICS
+    rows = table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("stockcode"), F.contains("p_name", F.lit("widget")).alias("mystery"),
+        (F.col("p_retailprice") % 50).alias(price), (F.col("p_size") <= 40).alias(avail),
+        *[F.expr(sql).alias(name) for name, sql in WIDE_NOMINALS.items()],
+    )
+    return structural.nearest_known(rows, "stockcode", "mystery", nightly.NUMERICS, nightly.NOMINALS)
 
 
 @query(
@@ -334,3 +367,49 @@ def fuzzy_name_join(spark, folder):
     left = customers.filter("c_mktsegment = 'HOUSEHOLD'").drop("c_mktsegment")
     right = customers.filter("c_mktsegment <> 'HOUSEHOLD'").select("c_name")
     return fuzzy.fuzzy_join(left, "c_name", right, "c_name", threshold=90, limit=2)
+
+
+# Two spellings of the parts' names: words in another order, and words left out.
+SPELLED_SQL = r"""
+l as (select distinct p_name || ' ' || p_brand as x from part where p_type = 'PROMO'),
+r as (select distinct lower(p_brand) || ', ' || p_name || case when p_size % 2 = 0 then ' large' else '' end as y from part where p_type <> 'PROMO'),
+names as (select x as name from l union select y from r),
+cut as (select name, list_filter(regexp_split_to_array(lower(name), '[^\p{L}\p{N}]+'), lambda w: w <> '') as w from names),
+parts as (select name, array_to_string(list_sort(w), ' ') as sorted, list_distinct(w) as bag, list_sum(list_transform(list_distinct(w), lambda v: length(v))) as size from cut),
+pairs as (select x, y, a.sorted as sa, b.sorted as sb, a.bag as ba, b.bag as bb, a.size as za, b.size as zb from l, r, parts a, parts b where a.name = x and b.name = y),
+scores as (
+  select x, y,
+    round(100 * (1 - levenshtein(x, y) / greatest(length(x), length(y))))::int as ratio,
+    round(100 * (1 - levenshtein(sa, sb) / greatest(length(sa), length(sb))))::int as token_sort,
+    round(100.0 * coalesce(list_sum(list_transform(list_intersect(ba, bb), lambda v: length(v))), 0) / least(za, zb))::int as token_set from pairs)"""
+
+
+def _spelled(spark, folder):
+    part = table(spark, folder, "part")
+    left = part.filter("p_type = 'PROMO'").select(F.concat_ws(" ", "p_name", "p_brand").alias("x"))
+    large = F.when(F.col("p_size") % 2 == 0, " large").otherwise("")
+    right = part.filter("p_type <> 'PROMO'").select(F.concat(F.lower("p_brand"), F.lit(", "), "p_name", large).alias("y"))
+    return left, "x", right, "y"
+
+
+@query("token_sort_join", f"with {SPELLED_SQL} select x as left_name, y as right_name, token_sort as score from scores where token_sort >= 90")
+def token_sort_join(spark, folder):
+    """Names whose words are alike in any order."""
+    return fuzzy.scored_pairs(*_spelled(spark, folder), threshold=90, scorer="token_sort")
+
+
+@query("token_set_join", f"with {SPELLED_SQL} select x as left_name, y as right_name, token_set as score from scores where token_set >= 95")
+def token_set_join(spark, folder):
+    """Names of which one's words are nearly all in the other."""
+    return fuzzy.scored_pairs(*_spelled(spark, folder), threshold=95, scorer="token_set")
+
+
+@query(
+    "weighted_name_join",
+    f"""with {SPELLED_SQL},
+    best as (select x, y, greatest(ratio, round(token_sort * 0.95::double)::int, round(token_set * 0.95::double)::int) as score from scores)
+    select x as left_name, y as right_name, score from best where score >= 90""",
+)
+def weighted_name_join(spark, folder):
+    """Names alike as they are, or by their words, which counts a little less."""
+    return fuzzy.scored_pairs(*_spelled(spark, folder), threshold=90)

@@ -57,3 +57,21 @@ def first_seen_in_batch(batch: DataFrame, history: DataFrame, key: str) -> DataF
 def first_seen_within(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """Streaming form with bounded state: repeats of a key within the delay are dropped."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+
+def keep_first_seen(stream: DataFrame, key: str, ts: str, delay: str, table: str, checkpoint: str) -> None:
+    """Append each key's first row to the table, until all landed files are read.
+
+    Keys seen are state in the checkpoint, so a later run goes on where this one stopped: repeats of earlier
+    runs are dropped too, and so are rows later than the watermark. A key's state ends ``delay`` after its row.
+    """
+    rows = first_seen_within(stream, key, ts, delay)
+    query = (
+        rows.writeStream.format("parquet")
+        .option("path", table)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
