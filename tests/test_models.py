@@ -3,9 +3,11 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from unmask.functions import text as tx
@@ -115,3 +117,31 @@ def test_unseen_words_are_near_their_pieces(spark):
     pieces = {r["piece"]: r["vector"] for r in semantic.subword_vectors(vectors).collect()}
     digest = lambda p: int(hashlib.md5(p.encode()).hexdigest()[:8], 16) % semantic.SUBWORD_PLACES
     assert pieces[digest("<wal")] == pytest.approx([(5 * 1 + 3 * 0.9) / 8, 3 * 0.1 / 8, 0])
+
+
+def test_word_vectors_move_packed_pairs_once(spark, monkeypatch):
+    """By either numbering and any chunks the vectors are those of plain counts; no table of pairs is written."""
+    rnd, written = random.Random(8), []
+    texts = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(rnd.randint(0, 60))) for _ in range(40)] + [None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc long, text string").repartition(3)
+    lists = [t.split() for t in texts if t]
+    n = Counter(w for ws in lists for w in ws)
+    lists = [[w for w in ws if n[w] >= semantic.MIN_COUNT] for ws in lists]
+    both = Counter((x, y) for ws in lists for i, a in enumerate(ws) for b in ws[i + 1 : i + 11] for x, y in ((a, b), (b, a)))
+    m = Counter()
+    for (a, _), k in both.items():
+        m[a] += k
+    expected = {a: [0.0] * semantic.VECTOR_SIZE for a in m}
+    for (a, b), k in both.items():
+        h = int(hashlib.md5(b.encode()).hexdigest()[:8], 16)
+        sign = 1.0 if h // semantic.VECTOR_SIZE % 2 == 0 else -1.0
+        expected[a][h % semantic.VECTOR_SIZE] += sign * max(math.log(k * sum(m.values()) / (m[a] * m[b])), 0.0)
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (written.append(self._df.columns), write(self, *a, **k))[1])
+    for settings in ({}, {"broadcast_words": 3, "chunk_words": 50}):
+        got = {r["term"]: r for r in semantic.word_vectors(rows, "doc", "text", **settings).collect()}
+        assert got.keys() == expected.keys()
+        for term, row in got.items():
+            assert row["n"] == n[term]
+            assert row["vector"] == pytest.approx(expected[term], abs=1e-9)
+    assert not any({"a", "b"} <= set(columns) for columns in written)
