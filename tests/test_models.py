@@ -145,3 +145,25 @@ def test_word_vectors_move_packed_pairs_once(spark, monkeypatch):
             assert row["n"] == n[term]
             assert row["vector"] == pytest.approx(expected[term], abs=1e-9)
     assert not any({"a", "b"} <= set(columns) for columns in written)
+
+
+def test_document_vectors_meet_blocks_of_words(spark):
+    """Any blocks and groups give the same means, and no row of a word is widened by its vector."""
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(rnd.randint(0, 40))) for _ in range(50)] + [None, "zzzz unknown"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc long, text string").repartition(3)
+    known = {c * k: [rnd.uniform(-1, 1) for _ in range(5)] for c in "abcdefgh" for k in (1, 2)}
+    vectors = spark.createDataFrame(list(known.items()), "term string, vector array<double>")
+    counts = weights.term_counts(rows, "doc", tx.ascii_words(F.col("text")))
+    expected = {}
+    for r in weights.bm25(counts).collect():
+        if r["term"] in known:
+            n, total = expected.get(r["id"], (0, np.zeros(5)))
+            expected[r["id"]] = n + r["tf"], total + r["tf"] * r["weight"] * np.array(known[r["term"]])
+    for settings in ({}, {"block": 3, "group_rows": 40}):
+        out = semantic.document_vectors(rows, "doc", "text", vectors, **settings)
+        assert "FlatMapCoGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: r["vector"] for r in out.collect()}
+        assert got.keys() == expected.keys()
+        for doc, (n, total) in expected.items():
+            assert got[doc] == pytest.approx((total / n).tolist(), abs=1e-9)
