@@ -167,3 +167,18 @@ def test_document_vectors_meet_blocks_of_words(spark):
         assert got.keys() == expected.keys()
         for doc, (n, total) in expected.items():
             assert got[doc] == pytest.approx((total / n).tolist(), abs=1e-9)
+
+
+def test_own_weights_move_terms_twice_and_join_nothing(spark):
+    rnd = random.Random(10)
+    texts = [" ".join(rnd.choice(["red", "dry", "wine", "oak", "x1"]) for _ in range(rnd.randint(0, 30))) for _ in range(40)] + [None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = text_match.word_tfidf(rows, "id", "text")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # By document before its terms are listed, by term, by document.
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 3
+    counts = text_match.word_counts(rows, "id", "text", 1, 3, None)
+    joined = weights.unit_tfidf(counts, weights.smoothed_idf(counts, 40))
+    by_key = lambda df: {(r["id"], r["term"]): r["weight"] for r in df.collect()}
+    got, expected = by_key(out), by_key(joined)
+    assert got == pytest.approx(expected, abs=1e-12) and len(got) > 1000
