@@ -317,3 +317,10 @@ def test_first_seen_survives_a_restart_and_drops_late_rows(spark, tmp_path):
     assert second == sorted([*first, ("c", at(9))])
     # Rows behind the watermark are late; a key whose state has ended counts as new again.
     assert run([("d", at(1)), ("c", at(9, 1)), ("a", at(10))]) == sorted([*second, ("a", at(10))])
+
+
+def test_products_are_dealt_before_they_are_sorted(spark, landed):
+    """Wide rows meet by code once; nothing is sorted in the tasks that read."""
+    rows = flatten.products(readers.read_payload(spark, str(landed)).withColumn("line", F.lit(0)), ["line"])
+    plan = flatten.flatten_products(rows, ["line"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("Aggregate") < plan.index("Exchange")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from unmask.functions import scalars as sc
 from unmask.operators.snapshots import keep_last
+from unmask.session import spread_by
 from unmask.sources import schema as sch
 
 # Stock codes and texts of products that are left out.
@@ -120,8 +121,9 @@ def flatten_products(
         df = df.filter(~sc.contains_text(F.col("Description"), denied_description))
     if only_categories:
         df = df.filter(nth_field(F.col("Categories"), 0, "UrlFriendlyName").isin(only_categories))
-    # the last product of a code is chosen before the many columns are made
-    df = keep_last(df.filter(F.size("AdditionalDetails") > 0), ["Stockcode"], order)
+    # the last product of a code is chosen before the many columns are made; the wide rows are dealt by code
+    # first, so that no task sorts all that it has read
+    df = keep_last(spread_by(df.filter(F.size("AdditionalDetails") > 0), "Stockcode"), ["Stockcode"], order)
     df = df.withColumn("_attributes", attribute_map(F.col("AdditionalDetails")))
     have = set(df.columns)
     plain = [
