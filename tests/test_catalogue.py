@@ -324,3 +324,10 @@ def test_products_are_dealt_before_they_are_sorted(spark, landed):
     rows = flatten.products(readers.read_payload(spark, str(landed)).withColumn("line", F.lit(0)), ["line"])
     plan = flatten.flatten_products(rows, ["line"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.rindex("Aggregate") < plan.index("Exchange")
+
+
+def test_csv_files_hold_a_bounded_number_of_records(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.lit('two\nlines, "quoted"').alias("text")).coalesce(1)
+    writers.write_csv(rows, str(tmp_path / "csv"), records=300)
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 4
+    assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "csv"), rows.schema).collect())) == sorted(map(tuple, rows.collect()))

@@ -6,6 +6,8 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame
 
 JDBC_BATCH = 1_000
+# Records of a CSV file: one with line ends inside quotes is read by one task.
+CSV_RECORDS = 100_000
 
 
 def append_run(df: DataFrame, path: str) -> None:
@@ -32,9 +34,10 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]
     df.write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode("append").save()
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
+def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, records: int = CSV_RECORDS) -> None:
+    """CSV files with a header, of at most so many records each."""
     out = df.select(*columns) if columns else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", records).csv(path)
 
 
 def save_model(model: MLWritable, path: str) -> None:
