@@ -124,7 +124,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     ``row`` tells the copies of a document apart that the mix has made.
     """
-    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), narrow=True)
     return packed.placed("row", "doc_id", "start", "length", "ids", "doc_tokens")
 
 

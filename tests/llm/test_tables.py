@@ -97,6 +97,18 @@ def test_documents_are_packed_whole(spark, messy, messy_rows, empty, monkeypatch
     assert packing.pack(empty, WORD_FILE).placed().count() == 0
 
 
+def test_moved_ids_take_two_bytes(spark):
+    """Of a piece whose ids fit; what is returned is the same."""
+    rows = spark.createDataFrame([(1, "one two three " * 40), (2, None), (3, "four")], "doc_id long, text string")
+    whole, packed = packing.pack(rows, WORD_FILE, window=64), packing.pack(rows, WORD_FILE, window=64, narrow=True)
+    assert all(len(r["ids"]) == 2 * r["length"] for r in packed.pieces.collect())
+    taken = ("doc_id", "start", "length", "ids")
+    assert sorted(map(tuple, packed.placed(*taken).collect())) == sorted(map(tuple, whole.placed(*taken).collect()))
+    # An id of three bytes stays as it is.
+    wide = np.array([70_000, 1], dtype="<u4").tobytes()
+    assert packing.narrowed(wide) == wide
+
+
 # Mixing
 
 

@@ -113,18 +113,37 @@ def best_fit_decreasing(counts: dict[int, int], window: int) -> tuple[list[tuple
 
 class Packing(NamedTuple):
     """``pieces``: (row, doc_id, doc_tokens, start, length, ids, piece_id), ids as little-endian unsigned 32-bit
-    integers, row the same for the pieces of one row of the input; ``places``: (piece_id, sequence_id, offset)."""
+    integers, row the same for the pieces of one row of the input; ``places``: (piece_id, sequence_id, offset).
+
+    Where ``narrow``, a piece whose ids fit takes two bytes for each until it has its place."""
 
     pieces: DataFrame
     places: DataFrame
+    narrow: bool = False
 
     def placed(self, *columns: Column | str) -> DataFrame:
         """Pieces with their places; ``columns`` (all by default) are taken before the join."""
         chosen = self.pieces.select("piece_id", *columns) if columns else self.pieces
-        return chosen.join(self.places, "piece_id").drop("piece_id")
+        out = chosen.join(self.places, "piece_id").drop("piece_id")
+        return out.mapInArrow(widened, out.schema) if self.narrow and "ids" in out.columns else out
+
+
+def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose ids take four bytes each again; ``length`` says how many there are."""
+    for batch in batches:
+        pairs = zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), strict=True)
+        ids = [x if len(x) == 4 * n else np.frombuffer(x, dtype="<u2").astype("<u4").tobytes() for x, n in pairs]
+        at = batch.schema.get_field_index("ids")
+        yield batch.set_column(at, batch.schema.field(at), pa.array(ids, pa.binary()))
+
+
+def narrowed(packed: bytes) -> bytes:
+    """Ids of four bytes as ids of two, if none is too large."""
+    ids = np.frombuffer(packed, dtype="<u4")
+    return ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else packed
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int, narrow: bool = False) -> DataFrame:
     """(row, doc_id, doc_tokens, start, length, ids) of every piece: full windows, then the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +161,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) ->
                         totals.append(len(packed) // 4)
                         starts.append(at // 4)
                         ids.append(packed[at : at + 4 * window])
-                longs = (pa.array(x, pa.int64()) for x in (totals, starts, [len(x) // 4 for x in ids]))
+                longs = [pa.array(x, pa.int64()) for x in (totals, starts, [len(x) // 4 for x in ids])]
+                ids = list(map(narrowed, ids)) if narrow else ids
                 columns = [batch.column(2).take(pa.array(which)), keys.take(pa.array(which)), *longs, pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         encoder.store.rest()
@@ -151,16 +171,17 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int) ->
     return pairs.mapInArrow(run, "row long, doc_id long, doc_tokens long, start long, length long, ids binary")
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW) -> Packing:
+def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW, narrow: bool = False) -> Packing:
     """Every piece of every document, and its place in a sequence of at most ``window`` tokens.
 
     ``docs`` has doc_id and text; other columns are not read. A null text is an empty one, whose only
     token is the end id. Rows are packed one by one, so repeated rows and ids, or null ids, do no harm. An
     empty table gives an empty result. Sequences are numbered without gaps: windows shared by rests
-    first, then the full ones; a sequence shorter than the window is padded to it.
+    first, then the full ones; a sequence shorter than the window is padded to it. ``narrow`` is for
+    callers that take the ids along with the places: less is written and moved.
     """
     spark = docs.sparkSession
-    encoded = token_pieces(docs, vocabulary, end_id, window)
+    encoded = token_pieces(docs, vocabulary, end_id, window, narrow)
     pieces = durable(encoded.withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
     sizes = pieces.select("piece_id", "length")
     # At most one row for each length, and lengths are at most the window.
@@ -189,4 +210,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = WINDOW
         celled = numbered.join(F.broadcast(widths), "length").withColumn("cell", F.expr("k div width"))
         places = celled.join(F.broadcast(found), ["length", "cell"]).filter("k >= lo and k < hi")
         places = places.select("piece_id", (F.col("k") + F.col("shift")).alias("sequence_id"), "offset")
-        return Packing(pieces, durable(places, "places"))
+        return Packing(pieces, durable(places, "places"), narrow)
