@@ -212,6 +212,23 @@ def test_fuzzy_pairs_are_complete(spark, threshold):
     assert {(r["left_name"], r["right_name"]): r["score"] for r in got} == want
 
 
+def test_numbered_names_meet_few_others(spark, monkeypatch):
+    """Names that differ in their digits only: candidates grow with the names, not with their square."""
+    met, join = [], fuzzy.salted_join
+
+    def counted(left, right, key, salted, right_id, condition=None, rows_per_salt=fuzzy.ROWS_PER_SALT):
+        met.append(join(left, right, key, salted, right_id, None, rows_per_salt).count())
+        return join(left, right, key, salted, right_id, condition, rows_per_salt)
+
+    monkeypatch.setattr(fuzzy, "salted_join", counted)
+    names = [f"Customer#{i:09d}" for i in range(4000)]
+    sides = [spark.createDataFrame([(n,) for n in some], "name string") for some in (names[::4], names)]
+    pairs = fuzzy.fuzzy_pairs(sides[0], "name", sides[1], "name", 90)
+    # Four digits, three of them with nine other values and one with three; and the name itself.
+    assert pairs.count() == 1000 * (1 + 3 * 9 + 3)
+    assert sum(met) < 150 * 1000
+
+
 def test_fuzzy_join_lists_best_first(spark):
     left = spark.createDataFrame([("shiraz reserve",), ("nothing like it",)], "n string")
     right = spark.createDataFrame([("shiraz reserva",), ("shiraz reserve",), ("shiraz xxserve",)], "n string")

@@ -3,7 +3,9 @@
 Score of two names: ``round(100 * (1 - edits / longer length))``. A score threshold allows a
 number of edits that grows with the length, and each edit can destroy at most q of a name's
 q-grams. So two names that reach the threshold must share one of their rarest q * edits + 1
-grams: the join runs on those rare grams only and checks the distance inside the join.
+grams: the join runs on those rare grams only and checks the distance inside the join. Where one edit is
+allowed at most, grams of numbered names are all frequent; such pairs are joined by what is left of both names
+without one place, which few others share.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from unmask.session import durable
 # Down to which threshold q-grams of a size are guaranteed to leave a name at least one survivor.
 LOWEST_FOR_GRAM_SIZE = {3: 76, 2: 68, 1: 51}
 LOWEST_THRESHOLD = 51
+ONE_EDIT = 1
 
 
 def score(edits: Column, left: Column, right: Column) -> Column:
@@ -59,35 +62,53 @@ def fuzzy_pairs(
     share = (100.5 - threshold) / 100.0
 
     def names(df: DataFrame, column: str, label: str) -> DataFrame:
-        out = df.select(F.col(column).alias(label)).filter(F.length(label) > 0).distinct()
-        return out.withColumn("gram", F.explode(_grams(F.col(label), q)))
+        return durable(df.select(F.col(column).alias(label)).filter(F.length(label) > 0).distinct(), "names")
 
-    lefts = durable(names(left, left_key, "left_name"), "left-grams")
-    rights = durable(names(right, right_key, "right_name"), "right-grams")
-    frequency = rights.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    frequency = durable(frequency, "gram-counts")
-    longest_left = lefts.agg(F.max(F.length("left_name"))).first()[0] or 0
-    longest_right = rights.agg(F.max(F.length("right_name"))).first()[0] or 0
+    left_names, right_names = names(left, left_key, "left_name"), names(right, right_key, "right_name")
+    longest_left = left_names.agg(F.max(F.length("left_name"))).first()[0] or 0
+    longest_right = right_names.agg(F.max(F.length("right_name"))).first()[0] or 0
 
-    def rarest(grams: DataFrame, label: str, longest_other: int) -> DataFrame:
+    def most_edits(label: str, longest_other: int) -> Column:
         # the longer of two names that can still match, hence the most edits a match can have
         longer = F.least(F.length(label) / (1.0 - share), F.greatest(F.length(label), F.lit(longest_other)))
-        edits = F.floor(F.lit(share) * longer + 1e-9)
-        order = Window.partitionBy(label).orderBy("_df", "gram")
-        out = grams.join(frequency, "gram", "left").withColumn("_df", F.coalesce("df", F.lit(0)))
-        out = out.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= q * edits + 1)
-        return out.filter("_df > 0").select("gram", label)
+        return F.floor(F.lit(share) * longer + 1e-9)
 
-    left_sigs = rarest(lefts, "left_name", longest_right)
-    right_sigs = durable(rarest(rights, "right_name", longest_left), "right-signatures")
-    counts = right_sigs.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    salted = salted_keys(counts, "gram", "n", rows_per_salt)
     a, b = F.col("left_name"), F.col("right_name")
     allowed = F.floor(F.lit(share) * F.greatest(F.length(a), F.length(b)) + 1e-9).cast("int")
     edits = F.call_function("levenshtein", a, b, allowed)
     near = (F.abs(F.length(a) - F.length(b)) <= allowed) & (edits >= 0)
-    pairs = salted_join(left_sigs, right_sigs, "gram", salted, "right_name", near, rows_per_salt)
-    return pairs.select("left_name", "right_name").distinct().withColumn("score", score(F.levenshtein(a, b), a, b))
+
+    def met(lefts: DataFrame, rights: DataFrame, key: str) -> DataFrame:
+        rights = durable(rights, "right-signatures")
+        salted = salted_keys(rights.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "n", rows_per_salt)
+        return salted_join(lefts, rights, key, salted, "right_name", near, rows_per_salt).select("left_name", "right_name")
+
+    # Pairs that allow one edit: each of them agrees once a place, or none, is left out on both sides.
+    def without_a_place(df: DataFrame, label: str) -> DataFrame:
+        short = df.filter(F.floor(F.lit(share) * F.length(label) + 1e-9) <= ONE_EDIT)
+        rest = lambda i: F.xxhash64(F.concat(F.substring(label, F.lit(1), i), F.substring(F.col(label), i + 2, F.length(label))))
+        places = F.sequence(F.lit(0), F.length(label))
+        return short.select(label, F.explode(F.array_distinct(F.transform(places, rest))).alias("rest"))
+
+    by_place = met(without_a_place(left_names, "left_name"), without_a_place(right_names, "right_name"), "rest")
+
+    # Pairs that allow more edits share a rare gram.
+    def grams(df: DataFrame, label: str, longest_other: int) -> DataFrame:
+        return df.filter(most_edits(label, longest_other) > ONE_EDIT).withColumn("gram", F.explode(_grams(F.col(label), q)))
+
+    lefts = durable(grams(left_names, "left_name", longest_right), "left-grams")
+    rights = durable(grams(right_names, "right_name", longest_left), "right-grams")
+    frequency = durable(rights.groupBy("gram").agg(F.count(F.lit(1)).alias("df")), "gram-counts")
+
+    def rarest(grams: DataFrame, label: str, longest_other: int) -> DataFrame:
+        order = Window.partitionBy(label).orderBy("_df", "gram")
+        out = grams.join(frequency, "gram", "left").withColumn("_df", F.coalesce("df", F.lit(0)))
+        out = out.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= q * most_edits(label, longest_other) + 1)
+        return out.filter("_df > 0").select("gram", label)
+
+    by_gram = met(rarest(lefts, "left_name", longest_right), rarest(rights, "right_name", longest_left), "gram")
+    pairs = by_place.unionByName(by_gram).distinct()
+    return pairs.withColumn("score", score(F.levenshtein(a, b), a, b))
 
 
 def fuzzy_join(
