@@ -124,6 +124,27 @@ def test_structure_with_text_over_many_cells(spark):
         assert all(abs(r["distance"] - want[r["stockcode_x"]][0]) < 2e-6 for r in got)
 
 
+def test_dense_rows_with_texts_meet_few_others(spark, monkeypatch):
+    """The reach with texts shrinks as rows grow denser; as wide as two texts' lengths it meets 29 a mystery here."""
+    counts, durable = {}, structural.durable
+
+    def counted(df, label, *more):
+        out = durable(df, label, *more)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(structural, "durable", counted)
+    rnd = random.Random(1600)
+    rows = [
+        (f"c{i:04}", rnd.uniform(0, 16), rnd.uniform(0, 16), rnd.choice("ab"), " ".join(rnd.choices(["red", "dry", "oak"], k=2)), rnd.random() < 0.3)
+        for i in range(1600)
+    ]
+    df = spark.createDataFrame(rows, "code string, price double, size double, kind string, text string, mystery boolean")
+    found = text_match.nearest_with_text(df, "code", "mystery", ["price", "size"], ["kind"], "text").count()
+    assert found == sum(r[-1] for r in rows)
+    assert counts["structural-pairs"] < 12 * found
+
+
 def vectors_of(rnd, n, prefix):
     rows = []
     for i in range(n):
