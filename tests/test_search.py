@@ -124,6 +124,25 @@ def test_structure_with_text_over_many_cells(spark):
         assert all(abs(r["distance"] - want[r["stockcode_x"]][0]) < 2e-6 for r in got)
 
 
+@pytest.mark.parametrize("good_only", [False, True])
+def test_far_mysteries_meet_blocks_of_cells(spark, monkeypatch, good_only):
+    """Where most of 24 nominals differ, cells are compared by blocks; ties, missing values and the limit hold."""
+    monkeypatch.setattr(structural, "BLOCK", 9)
+    monkeypatch.setattr(structural, "PAIRS", 20)
+    rnd = random.Random(7)
+    nominals = [f"a{i}" for i in range(24)]
+    rows = [
+        {"code": f"c{i:03}", "mystery": rnd.random() < 0.3, "x": rnd.choice([0.0, 0.1, 2.5, 40.0, None]), **{c: rnd.choice([None, "p", "q"]) for c in nominals}}
+        for i in range(150)
+    ]
+    rows += [{**rows[3], "code": "d1", "mystery": True}, {**rows[3], "code": "d2", "mystery": False}, {**rows[3], "code": "d0", "mystery": False}]
+    schema = "code string, mystery boolean, x double, " + ", ".join(f"{c} string" for c in nominals)
+    df = spark.createDataFrame([[r[f.split()[0]] for f in schema.split(", ")] for r in rows], schema)
+    got = structural.nearest_known(df, "code", "mystery", ["x"], nominals, good_only=good_only)
+    want = {k: v for k, v in brute_structural(rows, ["x"], nominals).items() if not good_only or v[0] < 1.8}
+    assert {r["stockcode_x"]: (r["distance"], r["stockcode_y"]) for r in got.collect()} == want and "d1" in want
+
+
 def test_dense_rows_with_texts_meet_few_others(spark, monkeypatch):
     """The reach with texts shrinks as rows grow denser; as wide as two texts' lengths it meets 29 a mystery here."""
     counts, durable = {}, structural.durable
