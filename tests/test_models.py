@@ -182,3 +182,26 @@ def test_own_weights_move_terms_twice_and_join_nothing(spark):
     by_key = lambda df: {(r["id"], r["term"]): r["weight"] for r in df.collect()}
     got, expected = by_key(out), by_key(joined)
     assert got == pytest.approx(expected, abs=1e-12) and len(got) > 1000
+
+
+def test_shared_terms_are_numbered_where_they_meet(spark):
+    """Weights of the terms both sides hold, by number, without a join or a table of all counts."""
+    rnd = random.Random(11)
+    words = ["red", "dry", "wine", "oak", "x1"]
+    texts = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 9))), rnd.choice([True, False, None])) for i in range(60)]
+    rows = spark.createDataFrame(texts, "id int, text string, masked boolean")
+    grams = tx.word_ngrams(tx.words_of_two(F.col("text")), 1, 3)
+    out = weights.shared_unit_tfidf(weights.term_counts(rows, "id", grams, ["masked"]), 60, "masked")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 3
+    counts = text_match.word_counts(rows, "id", "text", 1, 3, None, ["masked"])
+    idf = weights.smoothed_idf(counts, 60, F.count_if("masked").alias("n_masked"))
+    joined = weights.unit_tfidf(counts, idf, (F.col("n_masked") > 0) & (F.col("n_masked") < F.col("df"))).collect()
+    got: dict = {}
+    for r in out.collect():
+        got.setdefault(r["term"], {})[r["id"]] = r["weight"]
+    want: dict = {}
+    for r in joined:
+        want.setdefault(r["term"], {})[r["id"]] = r["weight"]
+    key = lambda held: sorted((i, round(w, 9)) for i, w in held.items())
+    assert sorted(map(key, got.values())) == sorted(map(key, want.values())) and len(want) > 20
