@@ -221,6 +221,21 @@ def test_nearest_against_brute_force(spark, joined, probes, least, block_rows):
             assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]], abs=1e-12)
 
 
+def test_one_plan_holds_at_every_size(spark):
+    """What a query does depends on what it meets: with few classes met it is compared with all, else its buckets decide."""
+    assert len(crosspolytope.PLAN) == 1
+    rows = vector_rows()
+    df, want = spark.createDataFrame(rows, VECTORS), exact_nearest(rows, 5)
+    shares = []
+    for least in (1, 100_000):
+        found = crosspolytope.search(df, F.col("vec_id") % 50 == 0, 5, plan=[(1, 2, 60)], rows_per_salt=20, least_met=least).collect()
+        got = collections.defaultdict(set)
+        for r in found:
+            got[r.query_id].add(r.vec_id)
+        shares.append(sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / (5 * len(want)))
+    assert shares[0] >= 0.9 and shares[1] == 1.0
+
+
 def test_a_tight_cluster_makes_no_larger_groups(spark, monkeypatch):
     rng = np.random.default_rng(11)
     x = rng.normal(size=(1_500, 16))

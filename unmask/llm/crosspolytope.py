@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Each table turns vectors with fast pseudo-rotations (three rounds of random signs and a Hadamard transform)
-and files a vector under the signed axes it comes nearest to, one of 2 d for each rotation. How many rotations
-are joined to one key follows the number of vectors (``PLAN``), so buckets stay small as the table grows. A query
-probes, in every table, the keys whose axes it comes nearest to in sum. All it meets there is reranked by the
-exact cosine of the original vectors, in double precision.
+and files a vector under the signed axes it comes nearest to, one of 2 d for each rotation; some rotations are
+joined to one key (``PLAN``). A query probes, in every table, the keys whose axes it comes nearest to in sum. All
+it meets there is reranked by the exact cosine of the original vectors, in double precision. What a query does
+depends on what it meets, never on the size of the table.
 
 Scale: equal vectors (or power-of-two multiples) are one class with its few smallest ids, so a vector
 that fills a third of the table costs one. What is filed and joined by bucket is numbers; a bucket that a
@@ -28,9 +28,10 @@ from unmask.session import Scratch, durable
 
 SEED = 5_005
 TABLES = 16
-# Vectors up to which so many rotations are joined to a key, and keys that a query then probes in a table. The
-# nearest of few vectors are less near, so few vectors take more probes.
-PLAN = [(16_000, 2, 280), (4_000_000, 2, 160), (1 << 62, 3, 1_200)]
+# Rotations joined to a key, and keys that a query probes in a table: the same for any number of vectors.
+PLAN = [(1 << 62, 2, 160)]
+# Classes a query must meet; the nearest of few are less near, so one that meets fewer is compared with every class.
+LEAST_MET = 1_000
 # Axes of each rotation that joined keys are made of.
 AXES = 48
 BLOCK_ROWS = 4_000
@@ -140,18 +141,21 @@ def _filed(df: DataFrame, key: str, tables: int, joined: int, probes: int, seed:
 
 
 def rerank(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """(query, class_id, score): the ``k`` nearest of the rows that each query has met (``ids``), without its own."""
+    """(query, class_id, score, met): the ``k`` nearest of the rows that each query has met (``ids``), without its own.
+
+    ``met`` is their number, in the first row of each query; the others have 0.
+    """
     rows = rows.sort_values("class_id")
     x, theirs = _matrix(rows["vec"]), rows["class_id"].to_numpy()
     norm = np.sqrt((x * x).sum(1))
-    out: list[tuple[int, int, float]] = []
+    out: list[tuple[int, int, float, int]] = []
     for query, vec, ids in zip(queries["query"].tolist(), queries["vec"], queries["ids"], strict=True):
         q, ids = np.frombuffer(vec), np.asarray(ids, dtype=np.int64)
         at = np.searchsorted(theirs, ids[ids != query])
         score = (x[at] @ q) / (np.sqrt((q * q).sum()) * norm[at])
         order = np.lexsort((theirs[at], -score))[:k]
-        out += zip([query] * len(order), theirs[at][order].tolist(), score[order].tolist(), strict=True)
-    return pd.DataFrame(out, columns=["query", "class_id", "score"])
+        out += zip([query] * len(order), theirs[at][order].tolist(), score[order].tolist(), [len(at)] + [0] * (len(order) - 1))
+    return pd.DataFrame(out, columns=["query", "class_id", "score", "met"])
 
 
 def met(queries: DataFrame, classes: DataFrame, plan: tuple[int, int, int], scratch: Scratch, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
@@ -173,14 +177,15 @@ def search(
     plan: list[tuple[int, int, int]] = PLAN,
     block_rows: int = BLOCK_ROWS,
     rows_per_salt: int = ROWS_PER_SALT,
+    least_met: int = LEAST_MET,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's ``k`` nearest other rows found, by cosine.
 
     ``vectors`` has vec_id and the vector; ``is_query`` says which rows are queries; other columns are
     not read. Vectors that are null, zero, or hold null or non-finite components take no part, nor do
     those of another dimension than most have. Equal vectors are all candidates, ties go to the
-    smaller vec_id, and a query with k candidates or fewer gets them all: one that meets fewer than k
-    classes in its buckets is compared with every class. Rows repeating a vec_id count as one.
+    smaller vec_id, and a query with k candidates or fewer gets them all: one that meets fewer than
+    ``least_met`` (or k) classes in its buckets is compared with every class. Rows repeating a vec_id count as one.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias(vector)).filter(
@@ -203,7 +208,7 @@ def search(
         queries = scratch.table(mine.select("query", "vec"))
 
         n_classes = classes.count()
-        joined, probes = next((j, p) for most, j, p in plan if n_classes <= most)
+        _, joined, probes = plan[0]
         blocks, parts = n_classes // block_rows + 1, queries.count() // block_rows + 1
         block = F.pmod(F.xxhash64("class_id"), F.lit(blocks)).cast("int").alias("block")
         part = F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int").alias("part")
@@ -215,20 +220,20 @@ def search(
 
         def nearest(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
             if few.empty or many.empty:
-                return pd.DataFrame({"query": [], "class_id": [], "score": []})
-            return rerank(few, many, k) if "ids" in few else best_of_block(few, many, k)
+                return pd.DataFrame({"query": [], "class_id": [], "score": [], "met": []})
+            return rerank(few, many, k) if "ids" in few else best_of_block(few, many, k).assign(met=0)
 
         found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
-        found = scratch.table(found.applyInPandas(nearest, "query long, class_id long, score double"))
+        found = scratch.table(found.applyInPandas(nearest, "query long, class_id long, score double, met long"))
 
-        enough = min(k, n_classes - 1)
-        full = found.groupBy("query").agg(F.count("*").alias("n")).filter(F.col("n") >= enough)
+        enough = min(max(k, least_met), n_classes - 1)
+        full = found.groupBy("query").agg(F.sum("met").alias("n")).filter(F.col("n") >= enough)
         short = scratch.table(queries.join(full, "query", "left_anti")) if enough > 0 else queries.limit(0)
         if short.take(1):
             left = short.select("query", "vec", part).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
             exact = left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
-            exact = exact.applyInPandas(nearest, "query long, class_id long, score double")
-            found = found.join(short, "query", "left_anti").select("query", "class_id", "score").unionByName(exact)
+            exact = exact.applyInPandas(nearest, "query long, class_id long, score double, met long")
+            found = found.join(short, "query", "left_anti").select("query", "class_id", "score").unionByName(exact.drop("met"))
 
         best = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "class_id"))
         found = found.withColumn("nth", best).filter(F.col("nth") <= k).select("query", "class_id", "score")
