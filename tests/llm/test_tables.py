@@ -541,3 +541,24 @@ def test_row_of_a_repeated_id_is_no_copy_of_another(spark):
 
 def test_entities_decode_once():
     assert wrapper.extract("<p>&amp;lt; &#8217; &copy; &unknown;") == html.unescape("&amp;lt; &#8217; &copy; &unknown;")
+
+
+@pytest.mark.parametrize("copied", [0, 1_000_000])
+@pytest.mark.parametrize("copies", [1, 4])
+def test_texts_stay_where_they_are_as_near_duplicates_go(spark, monkeypatch, copies, copied):
+    # No row is near another but its own copies; with four of each the rows that stay are the shorter list.
+    rng = random.Random(8)
+    texts = [" ".join(str(rng.random()) for _ in range(40)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts * copies + texts[:5])]
+    monkeypatch.setattr(golay, "COPIED_ROWS", copied)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = golay.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(r.doc_id for r in out.collect()) == list(range(30))
+        assert ("Exchange hashpartitioning" in out._jdf.queryExecution().toString()) == (copied == 0)
+        links = golay.fingerprint_links(spark.createDataFrame([(1,), (3,)], "fp long"))
+        # Keys are listed once and move once, and are moved again only where several fingerprints share one.
+        assert links._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow _expand") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

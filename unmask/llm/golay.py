@@ -12,8 +12,8 @@ word one step from both, hence a key in common. Up to three wrong bits split ove
 
 Candidates are verified on the whole fingerprint, so links are exact: none missed, none wrong.
 
-Scale: equal fingerprints are one. Keys held by a single fingerprint are dropped by a count. A key with
-many is cut into blocks and every pair of blocks is a small task's group, which gives a spanning forest
+Scale: equal fingerprints are one. Keys move once and are counted where they meet; those held by a single
+fingerprint are dropped there. A key with many is cut into blocks and every pair of blocks is a small task's group, which gives a spanning forest
 of its links instead of all pairs. Components are found by star operations on written tables.
 """
 
@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from unmask.llm.common import cols, fresh, quoted, shuffle_partitions
@@ -35,6 +36,8 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 # Fingerprints of one key that are compared in a group; a pair of blocks holds twice as many.
 BLOCK = 2_000
+# Row numbers that are copied to the tasks, so that texts need not move.
+COPIED_ROWS = 1_000_000
 _SEED = 42
 
 
@@ -191,11 +194,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLO
     if max_bits > 3:
         raise ValueError("the key kinds cover three bits")
     keys = fps.mapInArrow(_expand, "key long, fp long")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = keys.withColumn("n", F.count("*").over(W.partitionBy("key"))).filter("n > 1")
     blocks = F.ceil(F.col("n") / block)
-    rows = keys.join(shared, "key").select(
-        "key", "fp", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).alias("own")
-    )
+    rows = shared.select("key", "fp", blocks.alias("blocks"), F.pmod(F.xxhash64("fp"), blocks).alias("own"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
     grouped = rows.repartition(shuffle_partitions(fps.sparkSession), "key", "lo", "hi")
@@ -278,5 +279,11 @@ def first_of_groups(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
         # One row a fingerprint before anything is joined, so that many copies are no hot key.
         distinct = scratch.table(marked.groupBy(quoted(fp).alias("fp")).agg(first.alias("first")))
         rooted = fingerprint_roots(distinct.select("fp"), max_bits, scratch).join(distinct, "fp")
-        chosen = durable(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("chosen")), "chosen")
-    return marked.join(chosen, quoted(uid) == F.col("chosen"), "left_semi").select(*cols(docs))
+        chosen = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("uid"))
+        chosen = durable(chosen, "chosen")
+        # Only numbers move to tell which rows go; the shorter of both lists meets the texts.
+        others = durable(marked.select(quoted(uid).alias("uid")).join(chosen, "uid", "left_anti"), "others")
+    n_chosen, n_others = chosen.count(), others.count()
+    few, how = (others, "left_anti") if n_others < n_chosen else (chosen, "left_semi")
+    few = F.broadcast(few) if min(n_others, n_chosen) <= COPIED_ROWS else few
+    return marked.join(few, quoted(uid) == few["uid"], how).select(*cols(docs))
