@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from unmask.operators import fuzzy, sparse, structural, text_match
 from unmask.operators.exact import exact_text_match
+from unmask.session import durable
 
 
 def brute_structural(rows, numerics, nominals):
@@ -341,3 +342,24 @@ def test_groups_of_any_size_have_one_shape(spark, n_mystery):
     assert {(r["stockcode_y"], r["n_known"]) for r in got if r["stockcode_x"] != "m999"} == {("k00", 100)}
     pairs = matches.join(members, ["method", "match_key"]).select("stockcode_x", "stockcode").distinct()
     assert pairs.count() == 100 * n_mystery + 1
+
+
+def test_queries_stand_only_under_lengths_that_documents_have(spark):
+    cuts = spark.createDataFrame([("a", 3, 1.0, 0.5), ("b", 3, 1.0, 0.99), ("c", 4, 0.0, 0.5), ("d", 4, 0.1, 0.9)], "qid string, cut int, q_rest double, bound double")
+    cells = spark.createDataFrame([(3, 10, 1), (3, 40, 2), (3, 64, 3), (4, 64, 4)], "cut int, cell int, place long")
+    got = sorted((r.qid, r.place) for r in sparse._asked_cells(cuts, cells).collect())
+    assert got == [("a", 2), ("a", 3), ("b", 3)]
+
+
+def test_trigrams_of_distinct_names_are_listed_in_many_tasks(spark, monkeypatch):
+    plans = {}
+
+    def written(df, label, **more):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return durable(df, label, **more)
+
+    monkeypatch.setattr(text_match, "durable", written)
+    names = spark.createDataFrame([(f"name {i} of {i * 7}",) for i in range(50)], "n string")
+    found = text_match.trigram_name_match(names, "n", names.union(names), "n").collect()
+    assert len(found) == 50 and all(r.original_name == r.matched_name for r in found)
+    assert all("REPARTITION_BY_NUM" in plans[x] for x in ("clean-grams", "messy-grams"))
