@@ -44,6 +44,16 @@ def test_chunks_encode_like_whole_texts(name):
     same()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_encoded_apart_from_marks(name):
+    """The library sees each word and each mark once, not every pair of words with a mark between them."""
+    encoder = JsonEncoder(public_tokenizers.path(name))
+    words = [a + b for a in ("stone", "Été", "rivère", "old") for b in ("", "s", "ß", "ing", "né")]
+    text = " ".join(f"{a}%{b}" for a in words for b in words)
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.store) <= 3 * len(words)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_texts_without_spaces_are_not_remembered(name):
     """Stores stay small where every text is one chunk, and hold the oldest chunks only after a task."""

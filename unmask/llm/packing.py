@@ -165,7 +165,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int, nar
                 ids = list(map(narrowed, ids)) if narrow else ids
                 columns = [batch.column(2).take(pa.array(which)), keys.take(pa.array(which)), *longs, pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-        encoder.store.rest()
+        encoder.rest()
 
     pairs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id())
     return pairs.mapInArrow(run, "row long, doc_id long, doc_tokens long, start long, length long, ids binary")

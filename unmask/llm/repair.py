@@ -94,13 +94,20 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT, max_rules: int | None
             at = np.flatnonzero((own > here[:-2]) & (own >= here[2:]))
         if len(at) <= MIN_GAIN * len(s):
             break
-        used, first, new = np.unique(len(full) - own[at], return_index=True, return_inverse=True)
-        pair = np.stack([s[at[first]], s[at[first] + 1]], axis=1)
+        # The pairs that were taken are numbered anew, the more frequent first.
+        taken = len(full) - own[at]
+        first = np.full(len(full), -1, dtype=np.int64)
+        first[taken] = at
+        used = np.flatnonzero(first >= 0)
+        first = first[used]
+        new = np.zeros(len(full), dtype=np.int64)
+        new[used] = np.arange(len(used))
+        pair = np.stack([s[first], s[first + 1]], axis=1)
         known = np.concatenate(tokens)
         size = np.where(pair < base, 1, known[np.maximum(pair.astype(np.int64) - base, 0)] if len(known) else 1)
         rules.append(pair)
         tokens.append(size.sum(axis=1).astype(np.uint32))
-        s[at] = (base + made + new).astype(np.uint32)
+        s[at] = (base + made + new[taken]).astype(np.uint32)
         stays = np.ones(len(s), dtype=bool)
         stays[at + 1] = False
         s = s[stays]
@@ -215,7 +222,7 @@ def write_shards(
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             part = batch.column(2)[0].as_py() if len(ids) else part
-            for a, b in slices(texts, 1_000_000):
+            for a, b in slices(texts):
                 for i, p in enumerate(encoder.encode(texts[a:b]), a):
                     keys.append(ids[i])
                     packed.append(p + end)
@@ -225,7 +232,7 @@ def write_shards(
                         block, keys, packed, held = block + 1, [], [], 0
         if keys:
             yield full()
-        encoder.store.rest()
+        encoder.rest()
 
     fields = pa.schema([
         ("part", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()), ("base", pa.int64()), ("width", pa.int32()),
