@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from unmask.llm.common import shuffle_partitions
-from unmask.llm.tokens import json_encoder, slices
+from unmask.llm.tokens import WIDE_STORE_BYTES, json_encoder, slices
 
 BLOCK_TOKENS = 1 << 20
 MIN_COUNT = 64
@@ -213,7 +213,7 @@ def write_shards(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = json_encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
+        encoder, end = json_encoder(vocabulary, WIDE_STORE_BYTES), np.array([end_id], dtype="<u4").tobytes()
         part, block, keys, packed, held = 0, 0, [], [], 0
 
         def full() -> pa.RecordBatch:
@@ -222,7 +222,7 @@ def write_shards(
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             part = batch.column(2)[0].as_py() if len(ids) else part
-            for a, b in slices(texts):
+            for a, b in slices(texts, 4_000_000):
                 for i, p in enumerate(encoder.encode(texts[a:b]), a):
                     keys.append(ids[i])
                     packed.append(p + end)
