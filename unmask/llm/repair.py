@@ -63,7 +63,7 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT, max_rules: int | None
         # Pairs are counted in hash buckets, with another hash in every round. A full bucket stands for
         # the pair of one of its places; others that fell into it wait for a later round.
         a, b = (np.uint32((turn * k) & 0xFFFFFFFF | 1) for k in (0x9E3779B1, 0x85EBCA77))
-        bucket = (s[:-1] * a + (s[1:] ^ (s[1:] >> np.uint32(7))) * b) >> np.uint32(32 - _BUCKET_BITS)
+        bucket = ((s[:-1] * a + (s[1:] ^ (s[1:] >> np.uint32(7))) * b) >> np.uint32(32 - _BUCKET_BITS)).astype(np.intp)
         per_bucket = np.bincount(bucket, minlength=1 << _BUCKET_BITS)
         level = max(min_count, int(np.partition(per_bucket, -ROUND_RULES)[-ROUND_RULES]))
         at = np.flatnonzero((per_bucket >= level)[bucket])
@@ -84,20 +84,19 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT, max_rules: int | None
         here = np.zeros(len(s) + 1, dtype=np.int32)
         here[at + 1] = rank[group]
         own = here[1:-1]
+        taken = (own > 0) & (own >= here[:-2]) & (own >= here[2:])
         # A pair of one symbol may overlap itself: of such a run every other place is taken.
-        again = (own == here[:-2]) & (own > 0)
-        if again.any():
-            number = np.arange(len(own))
-            run = np.maximum.accumulate(np.where(again, 0, number))
-            at = np.flatnonzero((own > 0) & ((number - run) % 2 == 0) & (own >= here[:-2]) & (own >= here[2:]))
-        else:
-            at = np.flatnonzero((own > here[:-2]) & (own >= here[2:]))
+        again = np.flatnonzero((own == here[:-2]) & (own > 0))
+        if len(again):
+            head = np.maximum.accumulate(np.where(np.diff(again, prepend=-2) > 1, again - 1, 0))
+            taken[again[(again - head) % 2 == 1]] = False
+        at = np.flatnonzero(taken)
         if len(at) <= MIN_GAIN * len(s):
             break
         # The pairs that were taken are numbered anew, the more frequent first.
-        taken = len(full) - own[at]
+        number = len(full) - own[at]
         first = np.full(len(full), -1, dtype=np.int64)
-        first[taken] = at
+        first[number] = at
         used = np.flatnonzero(first >= 0)
         first = first[used]
         new = np.zeros(len(full), dtype=np.int64)
@@ -107,7 +106,7 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT, max_rules: int | None
         size = np.where(pair < base, 1, known[np.maximum(pair.astype(np.int64) - base, 0)] if len(known) else 1)
         rules.append(pair)
         tokens.append(size.sum(axis=1).astype(np.uint32))
-        s[at] = (base + made + new[taken]).astype(np.uint32)
+        s[at] = (base + made + new[number]).astype(np.uint32)
         stays = np.ones(len(s), dtype=bool)
         stays[at + 1] = False
         s = s[stays]
