@@ -3,8 +3,11 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from unmask import session
+from unmask.llm import crosspolytope
 from unmask.operators import semantic, structural
 
 
@@ -44,3 +47,16 @@ def test_blocks_are_packed_before_they_are_copied(spark, monkeypatch):
     # Both sides are packed by block under the meeting of blocks; before, copies of rows met there.
     top = plan.index("FlatMapCoGroupsInArrow")
     assert plan[top:].count("FlatMapGroupsInArrow") == 2
+
+
+def test_no_table_of_the_vector_search_is_copied_through_the_driver(spark, monkeypatch):
+    rnd = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rnd.normal(size=(400, 16)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plans = []
+    for owner, name in ((session.Scratch, "table"), (crosspolytope, "durable")):
+        real = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda *a, real=real, **k: plans.append(next(x for x in a if hasattr(x, "_jdf"))._jdf.queryExecution().executedPlan().toString()) or real(*a, **k))
+    out = crosspolytope.search(df, F.col("vec_id") % 50 == 0, least_met=50).collect()
+    assert len(out) == 40 and any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "BroadcastHashJoin" in p or "BroadcastNestedLoop" in p]

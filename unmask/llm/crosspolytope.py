@@ -158,6 +158,14 @@ def rerank(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["query", "class_id", "score", "met"])
 
 
+def dealt(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the vectors: it is dealt by the key, never copied whole through the driver.
+
+    Files are small beside what they hold, so the size of a file must not decide.
+    """
+    return side.hint("merge")
+
+
 def met(queries: DataFrame, classes: DataFrame, plan: tuple[int, int, int], scratch: Scratch, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """(query, class_id): all classes in the buckets that a query probes, each once. ``plan``: tables, joined, probes."""
     tables, joined, probes = plan
@@ -165,7 +173,7 @@ def met(queries: DataFrame, classes: DataFrame, plan: tuple[int, int, int], scra
     filed = scratch.table(_filed(classes, "class_id", tables, joined, 1, SEED).select(place, "class_id"))
     probing = _filed(queries, "query", tables, joined, probes, SEED).select(place, "query")
     crowded = salted_keys(filed.groupBy("place").agg(F.count("*").alias("n")), "place", "n", rows_per_salt)
-    return salted_join(probing, filed, "place", crowded, "class_id", rows_per_salt=rows_per_salt).select("query", "class_id").distinct()
+    return salted_join(probing, dealt(filed), "place", crowded, "class_id", rows_per_salt=rows_per_salt).select("query", "class_id").distinct()
 
 
 def search(
@@ -202,9 +210,9 @@ def search(
         members = F.transform(F.sort_array(F.collect_list(F.struct("nth", "vec_id"))), lambda m: m["vec_id"])
         classes = few.groupBy("vec").agg(F.min("vec_id").alias("class_id"), members.alias("members"))
         classes = scratch.table(classes)
-        asked = own.filter(is_query).join(classes.select("vec", "class_id"), "vec")
+        asked = own.filter(is_query).join(dealt(classes.select("vec", "class_id")), "vec")
         asked = scratch.table(asked.select(F.col("vec_id").alias("query_id"), F.col("class_id").alias("query")))
-        mine = asked.select("query").distinct().join(classes, F.col("query") == F.col("class_id"))
+        mine = asked.select("query").distinct().join(dealt(classes), F.col("query") == F.col("class_id"))
         queries = scratch.table(mine.select("query", "vec"))
 
         n_classes = classes.count()
@@ -215,7 +223,7 @@ def search(
         pairs = met(queries, classes, (tables, joined, probes), scratch, rows_per_salt)
         # A list holds rows of one block, a group the lists of some queries.
         lists = pairs.groupBy("query", block).agg(F.collect_list("class_id").alias("ids"))
-        left = lists.join(queries, "query").select("query", "vec", "ids", "block", part)
+        left = lists.join(dealt(queries), "query").select("query", "vec", "ids", "block", part)
         right = classes.select("class_id", "vec", block).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
         def nearest(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
@@ -228,23 +236,23 @@ def search(
 
         enough = min(max(k, least_met), n_classes - 1)
         full = found.groupBy("query").agg(F.sum("met").alias("n")).filter(F.col("n") >= enough)
-        short = scratch.table(queries.join(full, "query", "left_anti")) if enough > 0 else queries.limit(0)
+        short = scratch.table(queries.join(dealt(full), "query", "left_anti")) if enough > 0 else queries.limit(0)
         if short.take(1):
             left = short.select("query", "vec", part).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
             exact = left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
             exact = exact.applyInPandas(nearest, "query long, class_id long, score double, met long")
-            found = found.join(short, "query", "left_anti").select("query", "class_id", "score").unionByName(exact.drop("met"))
+            found = found.join(dealt(short.select("query")), "query", "left_anti").select("query", "class_id", "score").unionByName(exact.drop("met"))
 
         best = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "class_id"))
         found = found.withColumn("nth", best).filter(F.col("nth") <= k).select("query", "class_id", "score")
         itself = queries.mapInArrow(_own_score, "query long, class_id long, score double")
-        entries = found.unionByName(itself).join(classes.select("class_id", "members"), "class_id")
+        entries = found.unionByName(itself).join(dealt(classes.select("class_id", "members")), "class_id")
         entries = entries.select("query", F.explode("members").alias("vec_id"), "score")
         best = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
         entries = entries.withColumn("nth", best).filter(F.col("nth") <= k + 1)
         lists = F.sort_array(F.collect_list(F.struct("nth", "vec_id", "score"))).alias("entries")
         lists = entries.groupBy("query").agg(lists)
-        out = asked.join(lists, "query").select(
+        out = asked.join(dealt(lists), "query").select(
             "query_id", F.slice(F.filter("entries", lambda e: e["vec_id"] != F.col("query_id")), 1, k).alias("entries")
         )
         out = out.select("query_id", F.posexplode("entries").alias("at", "e"))
